@@ -18,6 +18,12 @@ def latest_ids(table: DataFrame, id_column: str, alias: str = "latest_id") -> Da
     return table.groupBy("symbol").agg(F.max(id_column).alias(alias))
 
 
+def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """``df`` written out, and marked for broadcast if it has few (narrow) rows."""
+    small = pin(df)
+    return F.broadcast(small) if small.count() <= rows else small
+
+
 def attach_per_symbol(
     facts: DataFrame,
     per_symbol: DataFrame,
@@ -50,10 +56,11 @@ def sequential_ids(
     """Ids 1, 2, 3 … per group in ``order``, without one task per group.
 
     Rows are range partitioned and sorted, so a large group is spread over many
-    partitions. Positions are written out once, which keeps them stable; rows of
-    a group in earlier partitions are then added as an offset. At most one group
-    per partition continues from an earlier one, so the offsets have no more
-    rows than there are partitions and are safe to broadcast.
+    partitions, and their positions are written out once, which keeps them
+    stable. A group's run inside a partition is then shifted by the rows the
+    group has in earlier partitions. There is one run per group plus at most one
+    more per partition; so few are broadcast, and the rows are not shuffled a
+    second time.
     """
     positioned = pin(
         df.repartitionByRange(*group, *order)
@@ -61,34 +68,36 @@ def sequential_ids(
         .withColumn("_position", F.monotonically_increasing_id())
     ).withColumn("_part", F.shiftright("_position", 33))
 
-    runs = positioned.groupBy("_part", *group).agg(
-        F.count("*").alias("_rows"), F.min("_position").alias("_first")
-    )
     earlier = W.partitionBy(*group).orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
-    offsets = runs.withColumn("_before", zero_if_missing(F.sum("_rows").over(earlier)))
-
-    if not group:
-        shift = F.col("_position") - F.col("_first") + F.col("_before") + 1
-        return (
-            positioned.join(F.broadcast(offsets.select("_part", "_first", "_before")), "_part")
-            .withColumn(id_column, shift)
-            .select(*df.columns, id_column)
+    runs = (
+        positioned.groupBy("_part", *group)
+        .agg(F.count("*").alias("_rows"), F.min("_position").alias("_first"))
+        .withColumn("_shift", zero_if_missing(F.sum("_rows").over(earlier)) - F.col("_first") + 1)
+    )
+    shifts = broadcast_if_small(
+        runs.select(
+            F.col("_part").alias("_run_part"),
+            *(F.col(c).alias(f"_run_{c}") for c in group),
+            "_shift",
         )
-    carried = offsets.where(F.col("_before") > 0).select("_part", *group, "_before")
-    rank = F.row_number().over(W.partitionBy("_part", *group).orderBy("_position"))
+    )
+    same_run = F.col("_part") == F.col("_run_part")
+    for c in group:
+        same_run &= F.col(c).eqNullSafe(F.col(f"_run_{c}"))
     return (
-        positioned.withColumn("_rank", rank)
-        .join(F.broadcast(carried), ["_part", *group], "left")
-        .withColumn(id_column, (F.col("_rank") + zero_if_missing(F.col("_before"))).cast("bigint"))
+        positioned.join(shifts, same_run)
+        .withColumn(id_column, F.col("_position") + F.col("_shift"))
         .select(*df.columns, id_column)
     )
 
 
 def continue_ids(
-    batch: DataFrame, latest: DataFrame, order: list[str], id_column: str
+    batch: DataFrame, latest: DataFrame | None, order: list[str], id_column: str
 ) -> DataFrame:
-    """Dense ids per symbol that go on from ``latest(symbol, latest_id)``."""
+    """Dense ids per symbol that go on from ``latest(symbol, latest_id)``, if any."""
     ranked = sequential_ids(batch, ["symbol"], order, id_column)
+    if latest is None:
+        return ranked
     return (
         attach_per_symbol(ranked, latest, spread_by=order[0])
         .withColumn(id_column, F.col(id_column) + zero_if_missing(F.col("latest_id")))
@@ -96,7 +105,7 @@ def continue_ids(
     )
 
 
-def assign_versions(loads: DataFrame, latest: DataFrame) -> DataFrame:
+def assign_versions(loads: DataFrame, latest: DataFrame | None) -> DataFrame:
     """Version id of every load: the symbol's latest version plus one, two, …"""
     return continue_ids(loads, latest, ["load_date", "load_hash"], "filterstype_id")
 

@@ -221,12 +221,8 @@ def _loads(spark, sf):
     return clean.clean_symbols(tables.raw_symbols(spark, sf))
 
 
-def _no_ids(spark):
-    return spark.createDataFrame([], "symbol string, latest_id bigint")
-
-
 def _versions(spark, sf):
-    return keys.assign_versions(_loads(spark, sf), _no_ids(spark))
+    return keys.assign_versions(_loads(spark, sf), None)
 
 
 def _exploded(spark, sf):
