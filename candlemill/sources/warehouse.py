@@ -10,6 +10,8 @@ from ..schemas import REPORTS, WAREHOUSE, Table, create_table_sql
 REPORT_DATABASE = "changes_daily"
 WAREHOUSE_DATABASE = "market_data"
 
+OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
+
 
 def create_database(spark: SparkSession, database: str) -> None:
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
@@ -66,12 +68,14 @@ def insert_partition(df: DataFrame, table: str, partition: dict[str, str]) -> No
 
 def overwrite_partitions(df: DataFrame, table: str) -> None:
     """Replace only the partitions that occur in ``df``."""
-    columns = df.sparkSession.table(table).columns
-    (
-        df.select(*columns)
-        .write.option("partitionOverwriteMode", "dynamic")
-        .insertInto(table, overwrite=True)
-    )
+    spark = df.sparkSession
+    before = spark.conf.get(OVERWRITE_MODE)
+    # ``insertInto`` takes this from the session only, not as a writer option.
+    spark.conf.set(OVERWRITE_MODE, "dynamic")
+    try:
+        df.select(*spark.table(table).columns).write.insertInto(table, overwrite=True)
+    finally:
+        spark.conf.set(OVERWRITE_MODE, before)
 
 
 def full_refresh(df: DataFrame, table: str) -> None:
