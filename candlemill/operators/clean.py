@@ -115,13 +115,14 @@ def clean_symbols(raw: DataFrame) -> DataFrame:
     """Symbol metadata, one row per distinct load, filters kept for unnesting.
 
     ``load_hash`` tells apart two different loads of one symbol on one day and
-    recognises a load seen before.
+    recognises a load seen before, whatever the order of keys in its filters.
     """
     typed = [
         F.col(n).cast("int").alias(n) if n.endswith("Precision") else F.col(n)
         for n in SYMBOL_FIELDS
     ]
-    content = F.to_json(F.struct(*SYMBOL_FIELDS, "filters"))
+    rules = F.transform("filters", lambda rule: F.array_sort(F.map_entries(rule)))
+    content = F.to_json(F.struct(*SYMBOL_FIELDS, rules.alias("filters")))
     return (
         raw.select(
             *typed,

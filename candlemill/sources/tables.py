@@ -168,95 +168,59 @@ def raw_tickers(
 
 def raw_symbols(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Symbol metadata: one load of every part, and a later load of some types."""
-    part = table(spark, sf_dir, "part").select(
-        "*", F.col("p_retailprice").cast("decimal(12,2)").alias("p")
+    part = table(spark, sf_dir, "part").selectExpr(
+        "*", "CAST(p_retailprice AS DECIMAL(12,2)) AS p", "14 AS day"
     )
-    first = part.withColumn("day", F.lit(14))
-    later = (
-        part.where(F.col("p_type").isin("ECONOMY", "PROMO"))
-        .withColumn("p", (F.col("p") + 1).cast("decimal(12,2)"))
-        .withColumn("day", F.lit(15))
+    later = part.where("p_type IN ('ECONOMY', 'PROMO')").withColumns(
+        {"p": F.expr("CAST(p + 1 AS DECIMAL(12,2))"), "day": F.lit(15)}
     )
-    size, price = F.col("p_size"), F.col("p")
-    return first.unionByName(later).select(
-        F.col("p_partkey").cast("string").alias("symbol"),
-        F.when(F.col("day") == 14, "TRADING").otherwise("BREAK").alias("status"),
-        F.col("p_brand").alias("baseAsset"),
-        F.col("p_type").alias("quoteAsset"),
-        *(
-            size.cast("bigint").alias(name)
-            for name in (
-                "baseAssetPrecision",
-                "quotePrecision",
-                "quoteAssetPrecision",
-                "baseCommissionPrecision",
-                "quoteCommissionPrecision",
-            )
-        ),
-        (size > 25).alias("icebergAllowed"),
-        *(
-            F.lit(True).alias(name)
-            for name in (
-                "ocoAllowed",
-                "quoteOrderQtyMarketAllowed",
-                "allowTrailingStop",
-                "cancelReplaceAllowed",
-                "isSpotTradingAllowed",
-            )
-        ),
-        F.lit(False).alias("isMarginTradingAllowed"),
-        F.lit("NONE").alias("defaultSelfTradePreventionMode"),
-        _filters(size, price).alias("filters"),
-        F.lit(2024).alias("year"),
-        F.lit(1).alias("month"),
-        F.col("day"),
+    return part.unionByName(later).selectExpr(
+        "CAST(p_partkey AS STRING) AS symbol",
+        "IF(day = 14, 'TRADING', 'BREAK') AS status",
+        "p_brand AS baseAsset",
+        "p_type AS quoteAsset",
+        "CAST(p_size AS BIGINT) AS baseAssetPrecision",
+        "CAST(p_size AS BIGINT) AS quotePrecision",
+        "CAST(p_size AS BIGINT) AS quoteAssetPrecision",
+        "CAST(p_size AS BIGINT) AS baseCommissionPrecision",
+        "CAST(p_size AS BIGINT) AS quoteCommissionPrecision",
+        "p_size > 25 AS icebergAllowed",
+        "true AS ocoAllowed",
+        "true AS quoteOrderQtyMarketAllowed",
+        "true AS allowTrailingStop",
+        "true AS cancelReplaceAllowed",
+        "true AS isSpotTradingAllowed",
+        "false AS isMarginTradingAllowed",
+        "'NONE' AS defaultSelfTradePreventionMode",
+        f"{FILTERS} AS filters",
+        "2024 AS year",
+        "1 AS month",
+        "day",
     )
 
 
-def _map(kind: str, **values: Column | str) -> Column:
-    pairs = [F.lit("filterType"), F.lit(kind)]
-    for key, value in values.items():
-        text = F.lit(value) if isinstance(value, str) else value.cast("string")
-        pairs += [F.lit(key), text]
-    return F.create_map(*pairs)
-
-
-def _filters(size: Column, price: Column) -> Column:
-    """Filters of every type: some absent, some twice, one unknown, one key missing."""
-    small = F.col("p_type") == "SMALL"
-    notional = {"minNotional": price, "maxNotional": price * 1000, "avgPriceMins": size}
-    flag = F.when(size > 25, "true").otherwise("false")
-    always = F.array(
-        _map("PRICE_FILTER", minPrice=price, maxPrice=price * 100, tickSize="0.01"),
-        _map("LOT_SIZE", minQty="0.001", maxQty=size * 1000, stepSize="0.001"),
-        _map("MARKET_LOT_SIZE", minQty="0", maxQty=size * 100, stepSize="0"),
-        _map(
-            "TRAILING_DELTA",
-            minTrailingBelowDelta="10",
-            maxTrailingBelowDelta=size + 2000,
-            minTrailingAboveDelta="10",
-            maxTrailingAboveDelta=size + 3000,
-        ),
-        _map(
-            "PERCENT_PRICE_BY_SIDE",
-            bidMultiplierUp="5",
-            bidMultiplierDown="0.2",
-            askMultiplierUp="5.5",
-            askMultiplierDown="0.25",
-            avgPriceMins=size,
-        ),
-        F.when(small, _map("NOTIONAL", **notional, applyMinToMarket=flag)).otherwise(
-            _map("NOTIONAL", **notional, applyMinToMarket=flag, applyMaxToMarket="false")
-        ),
-        _map("MAX_NUM_ORDERS", maxNumOrders=size + 200),
-        _map("MAX_NUM_ALGO_ORDERS", maxNumAlgoOrders="5"),
-        _map("UNKNOWN_RULE", limit="1"),
-    )
-    iceberg = _map("ICEBERG_PARTS", limit=size)
-    none = F.slice(F.array(iceberg), 1, 0)
-    twice = F.array(_map("LOT_SIZE", minQty="1", maxQty=size, stepSize="1"))
-    return F.concat(
-        always,
-        F.when(small, none).otherwise(F.array(iceberg)),
-        F.when(F.col("p_type") == "PROMO", twice).otherwise(none),
-    )
+# Filters of every type: some absent, some twice, one unknown, one key missing.
+FILTERS = """concat(
+  array(
+    map('filterType', 'PRICE_FILTER', 'minPrice', string(p), 'maxPrice', string(p * 100),
+        'tickSize', '0.01'),
+    map('filterType', 'LOT_SIZE', 'minQty', '0.001', 'maxQty', string(p_size * 1000),
+        'stepSize', '0.001'),
+    map('filterType', 'MARKET_LOT_SIZE', 'minQty', '0', 'maxQty', string(p_size * 100),
+        'stepSize', '0'),
+    map('filterType', 'TRAILING_DELTA', 'minTrailingBelowDelta', '10',
+        'maxTrailingBelowDelta', string(p_size + 2000), 'minTrailingAboveDelta', '10',
+        'maxTrailingAboveDelta', string(p_size + 3000)),
+    map('filterType', 'PERCENT_PRICE_BY_SIDE', 'bidMultiplierUp', '5',
+        'bidMultiplierDown', '0.2', 'askMultiplierUp', '5.5', 'askMultiplierDown', '0.25',
+        'avgPriceMins', string(p_size)),
+    map_concat(
+      map('filterType', 'NOTIONAL', 'minNotional', string(p), 'maxNotional', string(p * 1000),
+          'avgPriceMins', string(p_size), 'applyMinToMarket', string(p_size > 25)),
+      IF(p_type = 'SMALL', map(), map('applyMaxToMarket', 'false'))),
+    map('filterType', 'MAX_NUM_ORDERS', 'maxNumOrders', string(p_size + 200)),
+    map('filterType', 'MAX_NUM_ALGO_ORDERS', 'maxNumAlgoOrders', '5'),
+    map('filterType', 'UNKNOWN_RULE', 'limit', '1')),
+  IF(p_type = 'SMALL', array(), array(map('filterType', 'ICEBERG_PARTS', 'limit', string(p_size)))),
+  IF(p_type = 'PROMO', array(map('filterType', 'LOT_SIZE', 'minQty', '1',
+                                 'maxQty', string(p_size), 'stepSize', '1')), array()))"""

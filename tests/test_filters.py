@@ -46,7 +46,8 @@ def test_empty_filters_give_no_rows(spark):
 
 
 def test_same_load_twice_is_one_version_and_latest_wins(spark):
-    rows = [("A", 1, [PRICE]), ("A", 1, [PRICE]), ("A", 2, [LOT], "BREAK"), ("B", 1, [])]
+    turned = dict(reversed(PRICE.items()))
+    rows = [("A", 1, [PRICE]), ("A", 1, [turned]), ("A", 2, [LOT], "BREAK"), ("B", 1, [])]
     v = versioned(spark, rows)
     assert data.rows(v.select("symbol", "filterstype_id")) == [("A", 1), ("A", 2), ("B", 1)]
     current = {r.symbol: r for r in filters.current_versions(v).collect()}
