@@ -316,6 +316,8 @@ def _oracle() -> dict[str, str]:
             WHERE symbol = 'click' AND opentime {WINDOW} ORDER BY opentime""",
         "stream_trades": f"""WITH {t} SELECT symbol, trade_id, {_r('price', 'price')},
             trade_time FROM t""",
+        "stream_distinct_trades": f"""WITH {t} SELECT symbol, trade_id, {_r('price', 'price')},
+            trade_time FROM t""",
         "stream_klines": f"""WITH {t}, {KLINES} SELECT {KLINE_COLUMNS} FROM k
             WHERE opentime + INTERVAL 1 MINUTE
             <= (SELECT max(trade_time) FROM t) - INTERVAL 2 DAY""",

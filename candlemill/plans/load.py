@@ -8,18 +8,43 @@ from __future__ import annotations
 
 from datetime import date, datetime
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import clean, filters, incremental, keys
-from ..schemas import LAKE
 from ..session import pin
 from ..sources import lake, landing, warehouse
 from . import reports
 
 
+def trade_watermarks(spark: SparkSession, database: str) -> DataFrame:
+    """Last stored trade id per symbol, from the small table each load adds to."""
+    return keys.latest_ids(spark.table(f"`{database}`.trade_watermarks"), "trade_id")
+
+
+def land_tickers(
+    spark: SparkSession,
+    landing_root: str,
+    lake_root: str,
+    day: date,
+    database: str = warehouse.WAREHOUSE_DATABASE,
+) -> tuple[DataFrame, DataFrame]:
+    """Land the day's tickers behind the watermark; what to fetch follows from them.
+
+    Returns the pages of trade ids and the pages of candle times.
+    """
+    tickers = landing.read_landing(spark, landing_root, "Ticker_24h")
+    resumed = pin(incremental.resume_tickers(tickers, trade_watermarks(spark, database)))
+    lake.write_lake(resumed.select(*tickers.columns), lake_root, "Ticker_24h", day)
+    return incremental.trade_fetch_plan(resumed), incremental.kline_fetch_plan(resumed)
+
+
 def land_to_lake(
-    spark: SparkSession, landing_root: str, lake_root: str, day: date, tables=tuple(LAKE)
+    spark: SparkSession,
+    landing_root: str,
+    lake_root: str,
+    day: date,
+    tables: tuple[str, ...] = ("SymbolInfor", "Trades", "Klines"),
 ) -> None:
     """Append the landed responses of a day to the lake."""
     for table in tables:
@@ -66,6 +91,8 @@ def load_trades(spark: SparkSession, lake_root: str, day: date, database: str) -
     stored = spark.table(f"`{database}`.trades")
     batch = clean.clean_trades(lake.read_lake_day(spark, lake_root, "Trades", day))
     warehouse.append(incremental.new_trades(batch, stored), database, "trades")
+    mark = keys.latest_ids(batch, "trade_id", "trade_id").withColumn("load_date", F.lit(day))
+    warehouse.overwrite_partitions(mark, f"`{database}`.trade_watermarks")
 
 
 def load_klines(spark: SparkSession, lake_root: str, day: date, database: str) -> None:

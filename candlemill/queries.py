@@ -496,19 +496,30 @@ def symbol_klines_series(spark, sf):
 # -- streams ------------------------------------------------------------------
 
 
-@query
-def stream_trades(spark, sf):
+def _stream_trades(spark, sf):
     path = scratch_path(spark, "stream-trades")
     root = _lake_root(spark, sf)
     stream.load_new_trades(spark, root, path, scratch_path(spark, "state")).awaitTermination()
-    stored = stream.stored_trades(spark, path)
+    return path
+
+
+@query
+def stream_trades(spark, sf):
+    stored = stream.stored_trades(spark, _stream_trades(spark, sf))
     return stored.select("symbol", "trade_id", "price", "trade_time")
 
 
+@query
+def stream_distinct_trades(spark, sf):
+    path = scratch_path(spark, "stream-distinct")
+    root = _lake_root(spark, sf)
+    stream.load_distinct_trades(spark, root, path, scratch_path(spark, "state")).awaitTermination()
+    return spark.read.parquet(path).select("symbol", "trade_id", "price", "trade_time")
+
+
 @query
 def stream_klines(spark, sf):
+    trades = _stream_trades(spark, sf)
     path = scratch_path(spark, "stream-klines")
-    root = _lake_root(spark, sf)
-    stream.load_new_klines(spark, root, path, scratch_path(spark, "state")).awaitTermination()
+    stream.load_new_klines(spark, trades, path, scratch_path(spark, "state")).awaitTermination()
     return spark.read.parquet(path)
-

@@ -167,6 +167,10 @@ WAREHOUSE = {
         ("ticker_id",),
     ),
     "symbol_dim": Table("symbol_id bigint, symbol string"),
+    # Greatest trade id per symbol and load, so that nobody scans all trades for it.
+    "trade_watermarks": Table(
+        "symbol string, trade_id bigint, load_date date", ("load_date",)
+    ),
     **{
         kind.table: Table(
             ", ".join(f"`{name}` {dtype}" for name, dtype in kind.columns.items())

@@ -22,6 +22,11 @@ def build_session(app_name: str, hive: bool = False, **conf: str) -> SparkSessio
         .config("spark.sql.ansi.enabled", "true")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # Streams keep their state on disk instead of in the heap.
+        .config(
+            "spark.sql.streaming.stateStore.providerClass",
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+        )
     )
     if hive:
         builder = builder.enableHiveSupport()

@@ -1,10 +1,11 @@
-"""The daily load as a stream over new lake files.
+"""The daily load as streams over new files.
 
 Each run takes what arrived since the last one and stops. Trades are appended
 batch by batch against the stored ones, which is exact however late a file
-comes. Candles are emitted once, when their minute is behind the watermark;
-trades that come later than ``late_by`` after newer ones in an earlier run do
-not reach them, so ``late_by`` must cover the horizon of late files.
+comes. Candles follow from the stored trades and are emitted once, when their
+minute is behind the watermark; a trade that is stored more than ``late_by``
+after newer ones does not reach its candle, so ``late_by`` must cover the
+horizon of late files. The batch job has no such horizon.
 """
 
 from __future__ import annotations
@@ -31,17 +32,21 @@ def read_trades(
 
 
 def distinct_trades(trades: DataFrame, late_by: str) -> DataFrame:
-    """Every trade once; state is dropped behind the watermark."""
+    """Every trade once, for sources without a table to compare with.
+
+    State is kept per trade and dropped behind the watermark.
+    """
     return trades.withWatermark("trade_time", late_by).dropDuplicatesWithinWatermark(
         ["symbol", "trade_id"]
     )
 
 
-def closed_klines(trades: DataFrame) -> DataFrame:
+def closed_klines(trades: DataFrame, late_by: str) -> DataFrame:
     """1-minute candles, each emitted once its minute is behind the watermark."""
     order = trade_order(second_of_minute(), ID_BITS_PER_MINUTE)
     return (
-        trades.groupBy("symbol", F.window("trade_time", "1 minute").alias("w"))
+        trades.withWatermark("trade_time", late_by)
+        .groupBy("symbol", F.window("trade_time", "1 minute").alias("w"))
         .agg(*ohlc(order))
         .withColumn("opentime", F.col("w.start"))
         .withColumn("closetime", F.col("w.start") + F.expr("INTERVAL 59 SECONDS"))
@@ -89,7 +94,17 @@ def load_new_trades(
     )
 
 
-def load_new_klines(
+def _append_available(rows: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    return (
+        rows.writeStream.format("parquet")
+        .outputMode("append")
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start(path)
+    )
+
+
+def load_distinct_trades(
     spark: SparkSession,
     lake_root: str,
     path: str,
@@ -97,13 +112,24 @@ def load_new_klines(
     late_by: str = "2 days",
     files_per_batch: int | None = None,
 ) -> StreamingQuery:
-    """Candles of the minutes that the files since the last run have closed."""
+    """Append trades once each by state alone, without reading the stored ones."""
     trades = distinct_trades(read_trades(spark, lake_root, files_per_batch), late_by)
-    return (
-        closed_klines(trades)
-        .writeStream.format("parquet")
-        .outputMode("append")
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start(path)
-    )
+    return _append_available(trades, path, checkpoint)
+
+
+def load_new_klines(
+    spark: SparkSession,
+    trades_path: str,
+    path: str,
+    checkpoint: str,
+    late_by: str = "2 days",
+    files_per_batch: int | None = None,
+) -> StreamingQuery:
+    """Candles of the minutes closed by the trades stored since the last run.
+
+    The stored trades are distinct already, so only the candles hold state.
+    """
+    reader = spark.readStream.schema(WAREHOUSE["trades"].schema)
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    return _append_available(closed_klines(reader.parquet(trades_path), late_by), path, checkpoint)

@@ -6,6 +6,7 @@ import data
 from data import T0
 
 from candlemill.operators import derive
+from candlemill.operators.clean import clean_trades
 from candlemill.sources import lake
 from candlemill.streaming import trades as stream
 
@@ -50,16 +51,31 @@ def test_a_lost_checkpoint_adds_nothing(spark, tmp_path):
     assert stream.stored_trades(spark, out).count() == COUNT
 
 
-def test_candles_equal_the_batch_result(spark, tmp_path):
+def test_state_alone_removes_copies(spark, tmp_path):
     root, out, state = (str(tmp_path / n) for n in ("lake", "out", "state"))
     lake.write_lake(some_trades(spark), root, "Trades", DAY)
     lake.write_lake(some_trades(spark), root, "Trades", DAY)
-    run(stream.load_new_klines, spark, root, out, state, late_by="1 hour")
+    run(stream.load_distinct_trades, spark, root, out, state)
+    assert spark.read.parquet(out).count() == COUNT
+    lake.write_lake(some_trades(spark), root, "Trades", DAY)
+    run(stream.load_distinct_trades, spark, root, out, state)
+    assert spark.read.parquet(out).count() == COUNT
+
+
+def test_candles_equal_the_batch_result(spark, tmp_path):
+    root, trades, out = (str(tmp_path / n) for n in ("lake", "trades", "out"))
+    states = [str(tmp_path / n) for n in ("trade-state", "kline-state")]
+
+    def load():
+        run(stream.load_new_trades, spark, root, trades, states[0])
+        run(stream.load_new_klines, spark, trades, out, states[1], late_by="1 hour")
+
+    lake.write_lake(some_trades(spark), root, "Trades", DAY)
+    lake.write_lake(some_trades(spark), root, "Trades", DAY)
+    load()
     closing = some_trades(spark, 9000, 1, T0 + timedelta(hours=5))
     lake.write_lake(closing, root, "Trades", DAY)
-    run(stream.load_new_klines, spark, root, out, state, late_by="1 hour")
-    from candlemill.operators.clean import clean_trades
-
+    load()
     batch = derive.klines_from_trades(clean_trades(some_trades(spark)))
     got = spark.read.parquet(out).select(*batch.columns)
     assert got.count() > 10

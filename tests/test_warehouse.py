@@ -49,7 +49,7 @@ def test_all_tables_are_created_typed_and_partitioned(spark, db):
     warehouse.create_warehouse(spark, db)
     warehouse.create_warehouse(spark, db)
     tables = {t.name for t in spark.catalog.listTables(db)}
-    assert tables == set(WAREHOUSE) and len(tables) == 14
+    assert tables == set(WAREHOUSE) and len(tables) == 15
     for name, table in WAREHOUSE.items():
         stored = {f.name: f.dataType for f in spark.table(f"{db}.{name}").schema}
         assert stored == {f.name: f.dataType for f in table.schema}
@@ -135,6 +135,30 @@ def test_landing_to_lake(spark, tmp_path):
     assert lake.read_lake_day(spark, str(tmp_path / "lake"), "Trades", DAY, "BTC").count() == 2
 
 
+def test_tickers_resume_and_give_the_fetch_plan(spark, db, tmp_path):
+    root, landed = str(tmp_path / "lake"), tmp_path / "landing/Ticker_24h"
+    fill_lake(spark, root)
+    warehouse.create_warehouse(spark, db)
+    load.load_trades(spark, root, DAY, db)
+    load.load_trades(spark, root, DAY, db)
+    assert data.rows(load.trade_watermarks(spark, db)) == [("BTC", 8), ("ETH", 3)]
+    ticker = {"firstId": 1, "lastId": 2500, "count": 2500,
+              "openTime": data.ms(T0) - 86_400_000, "closeTime": data.ms(T0)}
+    for symbol in ("BTC", "NEW"):
+        (landed / f"symbol={symbol}").mkdir(parents=True)
+        (landed / f"symbol={symbol}/t.json").write_text(json.dumps(ticker))
+    pages, spans = load.land_tickers(spark, str(tmp_path / "landing"), root, date(2024, 1, 16), db)
+    assert sorted(data.rows(pages)) == [
+        ("BTC", 9, 1008), ("BTC", 1009, 2008), ("BTC", 2009, 2500),
+        ("NEW", 1, 1000), ("NEW", 1001, 2000), ("NEW", 2001, 2500),
+    ]
+    assert spans.count() == 6
+    stored = lake.read_lake_day(spark, root, "Ticker_24h", date(2024, 1, 16))
+    assert data.rows(stored.select("symbol", "firstId", "count")) == [
+        ("BTC", 9, 2491), ("NEW", 1, 2499),
+    ]
+
+
 def test_insert_into_one_partition(spark, db):
     warehouse.create_warehouse(spark, db)
     rows = spark.createDataFrame([("9", "1", "0.1")], "maxPrice string, minPrice string, tickSize string")
