@@ -52,9 +52,12 @@ def sequential_ids(
     group: list[str],
     order: list[str],
     id_column: str,
+    latest: DataFrame | None = None,
 ) -> DataFrame:
     """Ids 1, 2, 3 … per group in ``order``, without one task per group.
 
+    With ``latest``, a group's ids go on from its ``latest_id`` there.
+
     Rows are range partitioned and sorted, so a large group is spread over many
     partitions, and their positions are written out once, which keeps them
     stable. A group's run inside a partition is then shifted by the rows the
@@ -68,17 +71,19 @@ def sequential_ids(
         .withColumn("_position", F.monotonically_increasing_id())
     ).withColumn("_part", F.shiftright("_position", 33))
 
-    earlier = W.partitionBy(*group).orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
-    runs = (
-        positioned.groupBy("_part", *group)
-        .agg(F.count("*").alias("_rows"), F.min("_position").alias("_first"))
-        .withColumn("_shift", zero_if_missing(F.sum("_rows").over(earlier)) - F.col("_first") + 1)
+    runs = positioned.groupBy("_part", *group).agg(
+        F.count("*").alias("_rows"), F.min("_position").alias("_first")
     )
+    earlier = W.partitionBy(*group).orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
+    shift = zero_if_missing(F.sum("_rows").over(earlier)) - F.col("_first") + 1
+    if latest is not None:
+        runs = runs.join(latest.select(*group, "latest_id"), group, "left")
+        shift = shift + zero_if_missing(F.col("latest_id"))
     shifts = broadcast_if_small(
         runs.select(
             F.col("_part").alias("_run_part"),
             *(F.col(c).alias(f"_run_{c}") for c in group),
-            "_shift",
+            shift.alias("_shift"),
         )
     )
     same_run = F.col("_part") == F.col("_run_part")
@@ -91,23 +96,10 @@ def sequential_ids(
     )
 
 
-def continue_ids(
-    batch: DataFrame, latest: DataFrame | None, order: list[str], id_column: str
-) -> DataFrame:
-    """Dense ids per symbol that go on from ``latest(symbol, latest_id)``, if any."""
-    ranked = sequential_ids(batch, ["symbol"], order, id_column)
-    if latest is None:
-        return ranked
-    return (
-        attach_per_symbol(ranked, latest, spread_by=order[0])
-        .withColumn(id_column, F.col(id_column) + zero_if_missing(F.col("latest_id")))
-        .select(*batch.columns, id_column)
-    )
-
-
 def assign_versions(loads: DataFrame, latest: DataFrame | None) -> DataFrame:
     """Version id of every load: the symbol's latest version plus one, two, …"""
-    return continue_ids(loads, latest, ["load_date", "load_hash"], "filterstype_id")
+    order = ["load_date", "load_hash"]
+    return sequential_ids(loads, ["symbol"], order, "filterstype_id", latest)
 
 
 def extend_symbol_dim(symbols: DataFrame, dim: DataFrame) -> DataFrame:

@@ -100,7 +100,7 @@ def load_klines(spark: SparkSession, lake_root: str, day: date, database: str) -
     batch = clean.clean_klines(lake.read_lake_day(spark, lake_root, "Klines", day))
     new = incremental.new_klines(batch, stored)
     latest = keys.latest_ids(stored, "kline_id")
-    numbered = keys.continue_ids(new, latest, ["opentime"], "kline_id")
+    numbered = keys.sequential_ids(new, ["symbol"], ["opentime"], "kline_id", latest)
     warehouse.append(numbered, database, "klines")
 
 
@@ -109,7 +109,7 @@ def load_ticker(spark: SparkSession, lake_root: str, day: date, database: str) -
     batch = clean.clean_ticker(lake.read_lake_day(spark, lake_root, "Ticker_24h", day))
     new = incremental.new_rows(batch, stored, ["symbol", "closeTime"])
     latest = keys.latest_ids(stored, "ticker_id")
-    numbered = keys.continue_ids(new, latest, ["closeTime"], "ticker_id")
+    numbered = keys.sequential_ids(new, ["symbol"], ["closeTime"], "ticker_id", latest)
     warehouse.append(numbered, database, "ticker_24h")
 
 

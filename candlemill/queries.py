@@ -340,7 +340,7 @@ def kline_ids(spark, sf):
     old = F.col("opentime") < times.utc_literal(MIDNIGHT)
     latest = klines.where(old).groupBy("symbol").agg(F.count("*").alias("latest_id"))
     new = klines.where(~old).select("symbol", "opentime", "closePrice")
-    return keys.continue_ids(new, latest, ["opentime"], "kline_id")
+    return keys.sequential_ids(new, ["symbol"], ["opentime"], "kline_id", latest)
 
 
 # -- incremental --------------------------------------------------------------

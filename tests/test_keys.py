@@ -45,7 +45,7 @@ def test_ids_without_group_and_with_null_group(spark):
 def test_ids_continue_from_the_latest(spark):
     batch = spark.createDataFrame([("A", 5), ("A", 3), ("B", 9)], "symbol string, o int")
     latest = spark.createDataFrame([("A", 40)], "symbol string, latest_id bigint")
-    got = keys.continue_ids(batch, latest, ["o"], "id")
+    got = keys.sequential_ids(batch, ["symbol"], ["o"], "id", latest)
     assert data.rows(got) == [("A", 3, 41), ("A", 5, 42), ("B", 9, 1)]
 
 
