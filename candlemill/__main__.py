@@ -8,8 +8,10 @@ from __future__ import annotations
 import argparse
 from datetime import datetime
 
+from pyspark.sql import SparkSession
+
 from .plans import load
-from .session import build_session
+from .session import build_session, drop_scratch
 from .sources import warehouse
 from .streaming import trades as stream
 
@@ -38,8 +40,14 @@ def parser() -> argparse.ArgumentParser:
 def main(argv: list[str] | None = None) -> None:
     args = parser().parse_args(argv)
     spark = build_session(f"candlemill-{args.job}", hive=args.hive)
-    as_of = datetime.fromisoformat(args.as_of) if hasattr(args, "as_of") else None
+    try:
+        run(spark, args)
+    finally:
+        drop_scratch(spark)
 
+
+def run(spark: SparkSession, args: argparse.Namespace) -> None:
+    as_of = datetime.fromisoformat(args.as_of) if hasattr(args, "as_of") else None
     if args.job == "land":
         load.land_to_lake(spark, args.landing, args.lake, as_of.date())
     elif args.job == "plan-fetch":

@@ -14,19 +14,21 @@ ID_BITS_PER_MINUTE = 57
 ID_BITS_PER_DAY = 46
 
 
-def trade_order(seconds: Column, id_bits: int) -> Column:
-    """Seconds since the start of the window and trade id as one sortable bigint.
+def trade_order(seconds: Column, id_bits: int, wide_ids: bool = False) -> Column:
+    """Sort key for trades of one window: seconds since its start, then trade id.
 
-    A struct would sort the same way, but ``min_by``/``max_by`` over it cannot
-    be hash aggregated. An id that does not fit fails the job instead of being
-    ordered wrongly.
+    Both go into one bigint, since ``min_by``/``max_by`` over a struct cannot be
+    hash aggregated. An id that does not fit fails the job instead of being
+    ordered wrongly; with ``wide_ids`` the struct is used and any id fits.
     """
+    if wide_ids:
+        return F.struct("trade_time", "trade_id")
     fits = F.col("trade_id").between(F.lit(0), F.lit((1 << id_bits) - 1))
     packed = seconds * F.lit(1 << id_bits) + F.col("trade_id")
     return F.when(fits, packed).otherwise(
-        F.raise_error(F.format_string("trade id %s is out of range", F.col("trade_id"))).cast(
-            "bigint"
-        )
+        F.raise_error(
+            F.format_string("trade id %s is out of range, use wide_ids", F.col("trade_id"))
+        ).cast("bigint")
     )
 
 
@@ -56,9 +58,9 @@ def second_of_day() -> Column:
     return F.pmod(F.unix_seconds("trade_time"), F.lit(86400))
 
 
-def klines_from_trades(trades: DataFrame) -> DataFrame:
+def klines_from_trades(trades: DataFrame, wide_ids: bool = False) -> DataFrame:
     """1-minute candles of every symbol; one shuffle, partly aggregated before it."""
-    order = trade_order(second_of_minute(), ID_BITS_PER_MINUTE)
+    order = trade_order(second_of_minute(), ID_BITS_PER_MINUTE, wide_ids)
     return (
         trades.groupBy("symbol", F.date_trunc("minute", "trade_time").alias("opentime"))
         .agg(*ohlc(order))
@@ -66,12 +68,12 @@ def klines_from_trades(trades: DataFrame) -> DataFrame:
     )
 
 
-def last_prices(trades: DataFrame) -> DataFrame:
+def last_prices(trades: DataFrame, wide_ids: bool = False) -> DataFrame:
     """Last price per symbol over any length of history.
 
     Per day first, where time and id fit one sortable number, then over days.
     """
-    order = trade_order(second_of_day(), ID_BITS_PER_DAY)
+    order = trade_order(second_of_day(), ID_BITS_PER_DAY, wide_ids)
     return (
         trades.groupBy("symbol", F.to_date("trade_time").alias("_day"))
         .agg(F.max_by("price", order).alias("_last"))
@@ -90,7 +92,10 @@ def last_closes(klines: DataFrame, before: datetime) -> DataFrame:
 
 
 def ticker_from_trades(
-    trades: DataFrame, as_of: datetime, previous: DataFrame | None = None
+    trades: DataFrame,
+    as_of: datetime,
+    previous: DataFrame | None = None,
+    wide_ids: bool = False,
 ) -> DataFrame:
     """24-hour statistics of every symbol that traded in the day up to ``as_of``.
 
@@ -99,9 +104,10 @@ def ticker_from_trades(
     """
     start, end = report_bounds(as_of)
     if previous is None:
-        previous = last_prices(trades.where(F.col("trade_time") < utc_literal(start)))
+        earlier = trades.where(F.col("trade_time") < utc_literal(start))
+        previous = last_prices(earlier, wide_ids)
     since_start = F.unix_seconds("trade_time") - F.unix_seconds(utc_literal(start))
-    order = trade_order(since_start, ID_BITS_PER_DAY)
+    order = trade_order(since_start, ID_BITS_PER_DAY, wide_ids)
     change = F.col("lastPrice") - F.col("openPrice")
     percent = change.cast("double") * 100 / F.nullif("openPrice", F.lit(0)).cast("double")
     weighted = F.col("quoteVolume").cast("double") / F.nullif(
@@ -124,7 +130,7 @@ def ticker_from_trades(
     )
     return stats.join(previous, "symbol", "left").select(
         "symbol",
-        change.cast(PRICE).alias("priceChange"),
+        change.try_cast(PRICE).alias("priceChange"),
         percent.try_cast(PRICE).alias("priceChangePercent"),
         weighted.try_cast(PRICE).alias("weightedAvgPrice"),
         "prevClosePrice",

@@ -18,7 +18,7 @@ from .functions.values import count_rejects
 from .operators import clean, derive, filters, incremental, keys
 from .plans import reports
 from .schemas import FILTER_TYPES, PRICE
-from .session import scratch_path, use_utc
+from .session import folder_exists, scratch_path, use_utc
 from .sources import lake, landing, tables
 from .sources.tables import AS_OF
 from .streaming import trades as stream
@@ -67,7 +67,7 @@ _lakes: dict[tuple[str, str], str] = {}
 def _lake_root(spark: SparkSession, sf_dir: str) -> str:
     """The trades as a lake, written once per application and table folder."""
     key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _lakes:
+    if key not in _lakes or not folder_exists(spark, _lakes[key]):
         root = scratch_path(spark, "lake")
         day = F.to_date(F.timestamp_millis("time"))
         lake.write_lake(tables.raw_trades(spark, sf_dir), root, "Trades", day)

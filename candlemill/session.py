@@ -22,6 +22,8 @@ def build_session(app_name: str, hive: bool = False, **conf: str) -> SparkSessio
         .config("spark.sql.ansi.enabled", "true")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # Recording the Python line of every column call costs more than planning.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         # Streams keep their state on disk instead of in the heap.
         .config(
             "spark.sql.streaming.stateStore.providerClass",
@@ -61,8 +63,34 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder name under the checkpoint folder."""
-    return f"{checkpoint_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A fresh folder name for this application under the checkpoint folder."""
+    return f"{_scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def _scratch_root(spark: SparkSession) -> str:
+    application = spark.sparkContext.applicationId
+    return f"{checkpoint_root(spark).rstrip('/')}/candlemill-{application}"
+
+
+def _folder(spark: SparkSession, name: str):
+    """A folder of any file system Hadoop knows, and that file system."""
+    context = spark.sparkContext
+    path = context._jvm.org.apache.hadoop.fs.Path(name)
+    return path, path.getFileSystem(context._jsc.hadoopConfiguration())
+
+
+def folder_exists(spark: SparkSession, name: str) -> bool:
+    path, files = _folder(spark, name)
+    return files.exists(path)
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Delete what this application wrote to its scratch folder.
+
+    Frames that were pinned cannot be read afterwards.
+    """
+    path, files = _folder(spark, _scratch_root(spark))
+    files.delete(path, True)
 
 
 def pin(df: DataFrame) -> DataFrame:

@@ -41,9 +41,9 @@ def distinct_trades(trades: DataFrame, late_by: str) -> DataFrame:
     )
 
 
-def closed_klines(trades: DataFrame, late_by: str) -> DataFrame:
+def closed_klines(trades: DataFrame, late_by: str, wide_ids: bool = False) -> DataFrame:
     """1-minute candles, each emitted once its minute is behind the watermark."""
-    order = trade_order(second_of_minute(), ID_BITS_PER_MINUTE)
+    order = trade_order(second_of_minute(), ID_BITS_PER_MINUTE, wide_ids)
     return (
         trades.withWatermark("trade_time", late_by)
         .groupBy("symbol", F.window("trade_time", "1 minute").alias("w"))

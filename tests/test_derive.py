@@ -57,6 +57,15 @@ def test_an_id_too_large_to_order_fails_the_job(spark):
     t = data.trades(spark, [("A", 1 << 57, "3", "1", T0)])
     with pytest.raises(Exception, match="out of range"):
         derive.klines_from_trades(t).collect()
+    assert derive.klines_from_trades(t, wide_ids=True).collect()[0].openPrice == 3
+
+
+def test_wide_ids_give_the_same_result(spark):
+    t = data.trades(spark, random_trades(seed=4))
+    wide = derive.klines_from_trades(t, wide_ids=True)
+    assert data.rows(wide) == data.rows(derive.klines_from_trades(t))
+    wide = derive.ticker_from_trades(t, T0, wide_ids=True)
+    assert data.rows(wide) == data.rows(derive.ticker_from_trades(t, T0))
 
 
 def test_ticker_equals_brute_force(spark):

@@ -9,6 +9,7 @@ import data
 import pytest
 from data import T0
 
+from candlemill import session
 from candlemill.operators import derive, incremental, keys
 from candlemill.queries import registered
 from candlemill.session import checkpoint_root, pin
@@ -66,6 +67,22 @@ def test_pinned_rows_lie_in_the_named_folder(spark):
     assert all(root in f for f in pin(spark.range(3)).inputFiles())
 
 
+def test_scratch_is_dropped_on_request_only(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(session, "_scratch_root", lambda _: str(tmp_path / "own"))
+    pinned = pin(spark.range(3))
+    assert pinned.count() == 3 and list((tmp_path / "own").iterdir())
+    (tmp_path / "other").mkdir()
+    session.drop_scratch(spark)
+    assert [f.name for f in tmp_path.iterdir()] == ["other"]
+
+
+def test_a_dropped_lake_is_written_again(spark):
+    counts = registered()["lake_row_counts"]
+    assert counts(spark, SF).count() == 5
+    session.drop_scratch(spark)
+    assert counts(spark, SF).count() == 5
+
+
 def test_package_neither_collects_nor_uses_udfs():
     banned = (
         r"\.collect\(", r"\.toPandas\(", r"localCheckpoint", r"\budf\b", r"pandas_udf",
