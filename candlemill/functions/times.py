@@ -49,8 +49,8 @@ def report_bounds(as_of: datetime) -> tuple[datetime, datetime]:
 
 
 def utc_literal(moment: datetime) -> Column:
-    """A timestamp literal that does not depend on the driver's time zone."""
-    return F.lit(f"{moment:%Y-%m-%d %H:%M:%S}").cast("timestamp")
+    """A UTC timestamp literal, whatever the zone of the driver or the session."""
+    return F.lit(f"{moment:%Y-%m-%d %H:%M:%S}Z").cast("timestamp")
 
 
 def between_times(time: Column, low: datetime, high: datetime) -> Column:

@@ -91,6 +91,19 @@ def last_closes(klines: DataFrame, before: datetime) -> DataFrame:
     )
 
 
+def ratio(numerator: Column, denominator: Column) -> Column:
+    """Quotient of decimals of scale 10, rounded half up; NULL when dividing by 0.
+
+    A numerator with up to 18 integer digits leaves room for ten decimals in the
+    result; a larger one gets the six that Spark keeps for the widest decimals.
+    """
+    divisor = F.nullif(denominator, F.lit(0))
+    return F.coalesce(
+        (numerator.try_cast("decimal(28,10)") / divisor).try_cast(PRICE),
+        (numerator.cast("decimal(38,10)") / divisor).try_cast(PRICE),
+    )
+
+
 def ticker_from_trades(
     trades: DataFrame,
     as_of: datetime,
@@ -109,10 +122,8 @@ def ticker_from_trades(
     since_start = F.unix_seconds("trade_time") - F.unix_seconds(utc_literal(start))
     order = trade_order(since_start, ID_BITS_PER_DAY, wide_ids)
     change = F.col("lastPrice") - F.col("openPrice")
-    percent = change.cast("double") * 100 / F.nullif("openPrice", F.lit(0)).cast("double")
-    weighted = F.col("quoteVolume").cast("double") / F.nullif(
-        F.col("volume"), F.lit(0)
-    ).cast("double")
+    percent = ratio(change * 100, F.col("openPrice"))
+    weighted = ratio(F.col("quoteVolume"), F.col("volume"))
     stats = (
         trades.where(between_times(F.col("trade_time"), start, end))
         .groupBy("symbol")
@@ -131,8 +142,8 @@ def ticker_from_trades(
     return stats.join(previous, "symbol", "left").select(
         "symbol",
         change.try_cast(PRICE).alias("priceChange"),
-        percent.try_cast(PRICE).alias("priceChangePercent"),
-        weighted.try_cast(PRICE).alias("weightedAvgPrice"),
+        percent.alias("priceChangePercent"),
+        weighted.alias("weightedAvgPrice"),
         "prevClosePrice",
         "lastPrice",
         "openPrice",

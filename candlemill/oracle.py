@@ -6,7 +6,17 @@ from .queries import FILTER_KEYS
 
 
 def _r(expression: str, alias: str) -> str:
-    return f'round(CAST({expression} AS DOUBLE), 6) AS "{alias}"'
+    return f'CAST({expression} AS DOUBLE) AS "{alias}"'
+
+
+def _half_up(numerator: str, denominator: str) -> str:
+    """Quotient of two values with four decimals, rounded half up to ten."""
+    n = f"CAST(CAST({numerator} AS DECIMAL(30,4)) * 10000 AS HUGEINT) * 10000000000"
+    d = f"CAST(CAST({denominator} AS DECIMAL(30,4)) * 10000 AS HUGEINT)"
+    return (
+        f"CASE WHEN {denominator} = 0 THEN NULL ELSE CAST(sign({numerator}) * "
+        f"((2 * abs({n}) + {d}) // (2 * {d})) AS DOUBLE) / 10000000000 END"
+    )
 
 
 def trades(symbol: str = "event_type") -> str:
@@ -55,8 +65,8 @@ w AS (
 
 
 TICKER_VALUES = f"""symbol, {_r('c - o', 'priceChange')},
-  {_r('CAST(c - o AS DOUBLE) * 100 / nullif(CAST(o AS DOUBLE), 0)', 'priceChangePercent')},
-  {_r('CAST(qv AS DOUBLE) / nullif(CAST(v AS DOUBLE), 0)', 'weightedAvgPrice')},
+  {_r(_half_up('((c - o) * 100)', 'o'), 'priceChangePercent')},
+  {_r(_half_up('qv', 'v'), 'weightedAvgPrice')},
   {_r('prev', 'prevClosePrice')}, {_r('c', 'lastPrice')}, {_r('o', 'openPrice')},
   {_r('h', 'highPrice')}, {_r('l', 'lowPrice')}, {_r('v', 'volume')},
   open_time AS "openTime", close_time AS "closeTime" """

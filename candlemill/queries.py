@@ -1,7 +1,7 @@
 """Every operator as a named query over the given tables.
 
 Results use plain types, so that another engine can be compared with them:
-decimals as doubles rounded to six places, times without zone, dates as text.
+decimals as doubles, times without zone, dates as text.
 """
 
 from __future__ import annotations
@@ -37,7 +37,7 @@ def plain(df: DataFrame) -> DataFrame:
     def column(field: T.StructField):
         value = F.col(f"`{field.name}`")
         if isinstance(field.dataType, T.DecimalType):
-            value = F.round(value.cast("double"), 6)
+            value = value.cast("double")
         elif isinstance(field.dataType, T.TimestampType):
             value = value.cast("timestamp_ntz")
         elif isinstance(field.dataType, T.DateType):

@@ -70,6 +70,19 @@ def test_a_folder_below_the_day_is_read(spark, tmp_path):
     assert lake.read_lake(spark, str(tmp_path), "Trades").where("symbol = 'A'").count() == 1
 
 
+def test_records_that_carry_their_symbol_too(spark, tmp_path):
+    raw = data.raw_ticker(spark, [("A", 1, 5, T0)])
+    folder = tmp_path / "lake/Ticker_24h/symbol=A/year=2024/month=01/day=15/Ticker_24h.parquet"
+    raw.withColumn("lastQty", F.lit("1")).write.parquet(str(folder))
+    got = lake.read_lake_day(spark, str(tmp_path / "lake"), "Ticker_24h", DAY)
+    assert data.rows(got.select(*raw.columns)) == data.rows(raw)
+    landed = tmp_path / "landing/Ticker_24h/symbol=A"
+    landed.mkdir(parents=True)
+    (landed / "t.json").write_text(json.dumps({"symbol": "A", "firstId": 1, "lastPrice": "2"}))
+    (row,) = landing.read_landing(spark, str(tmp_path / "landing"), "Ticker_24h").collect()
+    assert (row.symbol, row.firstId, row.lastPrice) == ("A", 1, "2")
+
+
 def test_landed_records_and_pages(spark, tmp_path):
     one = {"id": 1, "price": "2.50", "qty": "1", "quoteQty": "2.5", "time": data.ms(T0),
            "isBuyerMaker": True, "isBestMatch": True, "unused": 5}

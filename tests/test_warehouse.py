@@ -85,6 +85,14 @@ def test_daily_run_and_its_repetition(spark, db, tmp_path):
     assert data.rows(spark.table(f"{db}_reports.total_trades")) == [(11,)]
 
 
+def test_a_day_without_data_changes_nothing(spark, db, tmp_path):
+    root = str(tmp_path)
+    load.run_day(spark, root, T0, "BTC", db, f"{db}_reports")
+    assert all(not rows for rows in contents(spark, db).values())
+    assert data.rows(spark.table(f"{db}_reports.total_trades")) == [(0,)]
+    assert spark.table(f"{db}_reports.number_of_trades_symbols").count() == 0
+
+
 def test_second_day_continues_ids_and_totals(spark, db, tmp_path):
     root = str(tmp_path)
     fill_lake(spark, root)
