@@ -105,3 +105,12 @@ def test_candle_volumes_sum_to_trade_volumes(spark):
     per_candle = derive.klines_from_trades(t).agg({"volume": "sum", "numberoftrades": "sum"})
     per_trade = t.agg({"qty": "sum", "trade_id": "count"})
     assert set(per_candle.collect()[0]) == set(per_trade.collect()[0])
+
+
+def test_ratio_is_exact_and_rounded_half_up(spark):
+    rows = [("2", "3"), ("-2", "3"), ("1", "0"), ("200000000000000000000", "100000000000000")]
+    df = spark.createDataFrame(rows, "n string, d string").selectExpr(
+        "CAST(n AS DECIMAL(38,10)) AS n", "CAST(d AS DECIMAL(38,10)) AS d"
+    )
+    got = [r[0] for r in df.select(derive.ratio(df.n, df.d)).collect()]
+    assert got == [Decimal("0.6666666667"), Decimal("-0.6666666667"), None, Decimal(2_000_000)]
