@@ -14,10 +14,14 @@ the first ``n - ceil(t n) + l`` tokens of both, at least ``l`` are the same.
 3. Candidates are verified on whole sets.
 
 Classes of equal sets are found first and take part once. In dense groups the
-candidates would grow with the square of the group, so the join first verifies
-only pairs with a *pivot* of each token (one document per token and round, and
-components follow); afterwards only candidates of different components remain,
-which can change the components. No link between components is lost.
+candidates would grow with the square of the group, so two things come first.
+Tokens that only one of the documents with postings has are counted on whole
+sets: ``n - u`` bounds every intersection; and parities of whole sets bound
+their difference: both rule out nearly all unlike pairs of a group, and no
+other. And the join first verifies only pairs with a *pivot* of each token
+(the document with the smallest share of own tokens, the middle of its group),
+and components follow; afterwards only candidates of different components
+remain, which can change the components. No link between components is lost.
 """
 
 from __future__ import annotations
@@ -35,7 +39,9 @@ from candlemill.session import pin
 VERIFY_COST = 8.0
 #: Lengths by which a prefix may grow, as shares of the room in the sketch.
 GROWTH = (0.0, 0.25, 0.5, 1.0)
-PIVOT_ROUNDS = 4
+PIVOT_ROUNDS = 3
+#: Integers of parities that rule out unlike pairs before their sets are compared.
+MARKS = 8
 
 
 def least_shared(n, percent: int):
@@ -158,8 +164,43 @@ def postings(sketched: DataFrame, percent: int) -> DataFrame:
     return pin(chosen)
 
 
-def _similar_sizes(percent: int) -> str:
-    return f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)"
+def _can_be_similar(percent: int) -> str:
+    """Whether the tokens that others have at all, and the sizes, allow a similar pair."""
+    return f"{100 + percent} * least(n_a - u_a, n_b - u_b) >= {percent} * (n_a + n_b)"
+
+
+def parities(tokens: np.ndarray) -> np.ndarray:
+    """``MARKS`` integers of 64 parities: of the number of tokens with each remainder.
+
+    Two sets differ in at least as many tokens as their parities differ in bits.
+    """
+    odd = np.bincount((tokens % np.uint64(64 * MARKS)).astype(np.int64), minlength=64 * MARKS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
+def _marks_allow(percent: int) -> str:
+    differ = " + ".join(f"bit_count(a_m{k} ^ b_m{k})" for k in range(MARKS))
+    return f"{100 + percent} * ({differ}) <= {100 - percent} * (n_a + n_b)"
+
+
+def own_tokens(sets: DataFrame) -> DataFrame:
+    """Rows (rep, u): how many tokens of a whole set no other set has."""
+
+    def explode(batches):
+        for batch in batches:
+            reps = batch.column("rep").to_numpy()
+            for low in range(0, batch.num_rows, 200):
+                arrays = [np.frombuffer(x.as_py(), np.int64) for x in batch.column("tokens").slice(low, 200)]
+                yield pa.RecordBatch.from_pydict(
+                    {
+                        "token": pa.array(np.concatenate(arrays)),
+                        "rep": pa.array(np.repeat(reps[low : low + 200], [len(a) for a in arrays])),
+                    }
+                )
+
+    tokens = sets.select("rep", "tokens").mapInArrow(explode, "token long, rep long")
+    alone = tokens.groupBy("token").agg(F.count("*").alias("df"), F.min("rep").alias("rep")).where("df = 1")
+    return alone.groupBy("rep").agg(F.count("*").alias("u"))
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -220,17 +261,20 @@ def jaccard_classes(docs: DataFrame, size: int = 4, percent: int = 85) -> DataFr
             hashes = WordHashes()
 
             def handle(batch):
-                tokens = [shingle_set(hashes, text, size).tobytes() for text in batch.column("text").to_pylist()]
+                found = [shingle_set(hashes, text, size) for text in batch.column("text").to_pylist()]
+                tokens = [x.tobytes() for x in found]
+                marks = np.array([parities(x) for x in found], np.int64).reshape(-1, MARKS)
                 return {
                     "digest": pa.array([xxhash.xxh3_128_digest(t) for t in tokens], pa.binary()),
                     "tokens": pa.array(tokens, pa.binary()),
-                }
+                } | {f"m{k}": pa.array(marks[:, k].copy()) for k in range(MARKS)}
 
             return handle
 
-        return map_text(batch_docs, ["text"], work, "digest binary, tokens binary").select(
-            F.xxhash64("digest").alias("rep"), "tokens"
-        )
+        marks = [f"m{k}" for k in range(MARKS)]
+        return map_text(
+            batch_docs, ["text"], work, "digest binary, tokens binary" + "".join(f", {m} long" for m in marks)
+        ).select(F.xxhash64("digest").alias("rep"), "tokens", *marks)
 
     wanted = posted.select("rep").distinct()
     owners = classes.select(F.xxhash64("digest").alias("rep"), F.col("rep").alias("doc_id")).join(wanted, "rep", "left_semi")
@@ -240,6 +284,12 @@ def jaccard_classes(docs: DataFrame, size: int = 4, percent: int = 85) -> DataFr
         .dropDuplicates(["rep"])
     )
 
+    # A document with too many own tokens has no similar one.
+    posted = pin(
+        posted.join(own_tokens(sets), "rep", "left")
+        .withColumn("u", F.coalesce("u", F.lit(0)))
+        .where(f"100 * (n - u) >= {percent} * n")
+    )
     links = spark.createDataFrame([], "a long, b long")
     found = spark.createDataFrame([], "node long, root long")
     for turn in range(PIVOT_ROUNDS):
@@ -247,18 +297,18 @@ def jaccard_classes(docs: DataFrame, size: int = 4, percent: int = 85) -> DataFr
             posted.join(found.withColumnRenamed("node", "rep"), "rep", "left").withColumn("root", F.coalesce("root", "rep"))
         )
         # Lists whose documents are all of one component have nothing to add.
-        order = F.xxhash64("rep", F.lit(turn))
+        order = F.col("u") / F.col("n") + F.pmod(F.xxhash64("rep", F.lit(turn)), F.lit(1000)) * (turn / 10_000)
         pivots = labelled.groupBy("token").agg(
-            *(F.min_by(c, order).alias(f"p_{c}") for c in ("rep", "root", "n")), F.min("root").alias("r0"), F.max("root").alias("r1")
+            *(F.min_by(c, order).alias(f"p_{c}") for c in ("rep", "root", "n", "u")), F.min("root").alias("r0"), F.max("root").alias("r1")
         ).where("r0 <> r1")
         near = (
-            labelled.join(pivots.select("token", "p_rep", "p_root", "p_n"), "token")
+            labelled.join(pivots.select("token", "p_rep", "p_root", "p_n", "p_u"), "token")
             .where("root <> p_root")
             .select(
                 F.least("rep", "p_rep").alias("a"), F.greatest("rep", "p_rep").alias("b"),
-                F.col("n").alias("n_a"), F.col("p_n").alias("n_b"),
+                F.col("n").alias("n_a"), F.col("p_n").alias("n_b"), F.col("u").alias("u_a"), F.col("p_u").alias("u_b"),
             )
-            .where(_similar_sizes(percent))
+            .where(_can_be_similar(percent))
             .select("a", "b")
             .distinct()
         )
@@ -276,17 +326,19 @@ def jaccard_classes(docs: DataFrame, size: int = 4, percent: int = 85) -> DataFr
     mixed = parts.groupBy("token").agg(
         F.count("*").alias("k"), F.max(F.struct("c", "root"))["root"].alias("main")
     ).where("k > 1").select("token", "main")
-    lists = pin(labelled.join(mixed, "token"))
+    marks = [f"m{k}" for k in range(MARKS)]
+    lists = pin(labelled.join(mixed, "token").join(sets.select("rep", *marks), "rep"))
     left = lists.where("root <> main").select(
-        "token", F.col("rep").alias("x"), F.col("n").alias("n_a"), F.col("extra").alias("e_a"), F.col("root").alias("root_a")
+        "token", F.col("rep").alias("x"), F.col("n").alias("n_a"), F.col("u").alias("u_a"),
+        F.col("extra").alias("e_a"), F.col("root").alias("root_a"), *(F.col(m).alias(f"a_{m}") for m in marks),
     )
     right = lists.select(
-        "token", F.col("rep").alias("y"), F.col("n").alias("n_b"), F.col("extra").alias("e_b"),
-        F.col("root").alias("root_b"), F.col("main").alias("main_b"),
+        "token", F.col("rep").alias("y"), F.col("n").alias("n_b"), F.col("u").alias("u_b"), F.col("extra").alias("e_b"),
+        F.col("root").alias("root_b"), F.col("main").alias("main_b"), *(F.col(m).alias(f"b_{m}") for m in marks),
     )
     rest = (
         left.join(right, "token")
-        .where(f"root_a <> root_b and (root_b = main_b or x < y) and {_similar_sizes(percent)}")
+        .where(f"root_a <> root_b and (root_b = main_b or x < y) and {_can_be_similar(percent)} and {_marks_allow(percent)}")
         .groupBy(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
         .agg(F.count("*").alias("m"), F.least(F.first("e_a"), F.first("e_b")).alias("e"))
         .where("m >= 1 + e")
