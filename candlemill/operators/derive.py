@@ -10,26 +10,21 @@ from pyspark.sql import functions as F
 from ..functions.times import between_times, report_bounds, utc_literal
 from ..schemas import PRICE
 
-ID_BITS_PER_MINUTE = 57
-ID_BITS_PER_DAY = 46
+#: One more than the largest trade id, so that time and id make one number.
+ID_RANGE = 1 << 64
 
 
-def trade_order(seconds: Column, id_bits: int, wide_ids: bool = False) -> Column:
-    """Sort key for trades of one window: seconds since its start, then trade id.
+def trade_order() -> Column:
+    """Sort key for trades: time in seconds, then trade id, as one exact decimal.
 
-    Both go into one bigint, since ``min_by``/``max_by`` over a struct cannot be
-    hash aggregated. An id that does not fit fails the job instead of being
-    ordered wrongly; with ``wide_ids`` the struct is used and any id fits.
+    ``min_by``/``max_by`` over a struct cannot be hash aggregated, over a decimal
+    they can. Any id of 0 or more fits; a trade without id comes after the
+    others of its second.
     """
-    if wide_ids:
-        return F.struct("trade_time", "trade_id")
-    fits = F.col("trade_id").between(F.lit(0), F.lit((1 << id_bits) - 1))
-    packed = seconds * F.lit(1 << id_bits) + F.col("trade_id")
-    return F.when(fits, packed).otherwise(
-        F.raise_error(
-            F.format_string("trade id %s is out of range, use wide_ids", F.col("trade_id"))
-        ).cast("bigint")
-    )
+    seconds = F.unix_seconds("trade_time").cast("decimal(18,0)")
+    after_all = F.lit(str(ID_RANGE - 1)).cast("decimal(20,0)")
+    number = F.coalesce(F.col("trade_id").cast("decimal(20,0)"), after_all)
+    return (seconds * F.lit(str(ID_RANGE)).cast("decimal(20,0)") + number).cast("decimal(38,0)")
 
 
 def ohlc(order: Column) -> list[Column]:
@@ -50,40 +45,28 @@ def ohlc(order: Column) -> list[Column]:
     ]
 
 
-def second_of_minute() -> Column:
-    return F.pmod(F.unix_seconds("trade_time"), F.lit(60))
-
-
-def second_of_day() -> Column:
-    return F.pmod(F.unix_seconds("trade_time"), F.lit(86400))
-
-
-def klines_from_trades(trades: DataFrame, wide_ids: bool = False) -> DataFrame:
+def klines_from_trades(trades: DataFrame) -> DataFrame:
     """1-minute candles of every symbol; one shuffle, partly aggregated before it."""
-    order = trade_order(second_of_minute(), ID_BITS_PER_MINUTE, wide_ids)
     return (
         trades.groupBy("symbol", F.date_trunc("minute", "trade_time").alias("opentime"))
-        .agg(*ohlc(order))
+        .agg(*ohlc(trade_order()))
         .withColumn("closetime", F.col("opentime") + F.expr("INTERVAL 59 SECONDS"))
     )
 
 
-def last_prices(trades: DataFrame, wide_ids: bool = False) -> DataFrame:
-    """Last price per symbol over any length of history.
-
-    Per day first, where time and id fit one sortable number, then over days.
-    """
-    order = trade_order(second_of_day(), ID_BITS_PER_DAY, wide_ids)
-    return (
-        trades.groupBy("symbol", F.to_date("trade_time").alias("_day"))
-        .agg(F.max_by("price", order).alias("_last"))
-        .groupBy("symbol")
-        .agg(F.max_by("_last", "_day").alias("prevClosePrice"))
-    )
+def last_prices(trades: DataFrame) -> DataFrame:
+    """Last price per symbol over any length of history."""
+    return trades.groupBy("symbol").agg(F.max_by("price", trade_order()).alias("prevClosePrice"))
 
 
 def last_closes(klines: DataFrame, before: datetime) -> DataFrame:
-    """Last price per symbol from stored candles that end before a time."""
+    """Last price per symbol from stored candles that end before a time.
+
+    Candles know whole minutes only, so ``before`` must be one; trades of a part
+    of a minute would be missed.
+    """
+    if before.second or before.microsecond:
+        raise ValueError("the last closes are known for whole minutes only")
     return (
         klines.where(F.col("closetime") < utc_literal(before))
         .groupBy("symbol")
@@ -108,19 +91,17 @@ def ticker_from_trades(
     trades: DataFrame,
     as_of: datetime,
     previous: DataFrame | None = None,
-    wide_ids: bool = False,
 ) -> DataFrame:
     """24-hour statistics of every symbol that traded in the day up to ``as_of``.
 
-    ``previous(symbol, prevClosePrice)`` may come from ``last_closes``, which
-    spares the read of all earlier trades.
+    ``previous(symbol, prevClosePrice)`` may come from ``last_closes`` if
+    ``as_of`` is a whole minute, which spares the read of all earlier trades.
     """
     start, end = report_bounds(as_of)
     if previous is None:
         earlier = trades.where(F.col("trade_time") < utc_literal(start))
-        previous = last_prices(earlier, wide_ids)
-    since_start = F.unix_seconds("trade_time") - F.unix_seconds(utc_literal(start))
-    order = trade_order(since_start, ID_BITS_PER_DAY, wide_ids)
+        previous = last_prices(earlier)
+    order = trade_order()
     change = F.col("lastPrice") - F.col("openPrice")
     percent = ratio(change * 100, F.col("openPrice"))
     weighted = ratio(F.col("quoteVolume"), F.col("volume"))

@@ -71,7 +71,8 @@ def _page_starts(df: DataFrame, first: str, last: str, step: int, alias: str) ->
 
 def trade_fetch_plan(tickers: DataFrame, step: int = TRADES_PER_PAGE) -> DataFrame:
     """Id pages to fetch per symbol: start and end id, both inclusive."""
-    valid = valid_tickers(tickers).select("symbol", "firstId", "lastId")
+    # Id 0 is a trade; only -1 means that there are none.
+    valid = tickers.where("firstId >= 0 and lastId >= 0").select("symbol", "firstId", "lastId")
     return _page_starts(valid, "firstId", "lastId", step, "from_id").select(
         "symbol",
         "from_id",
@@ -97,15 +98,21 @@ def concat_pages(pages: list[DataFrame]) -> DataFrame:
     return whole
 
 
+def with_keys(batch: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows whose keys are all known; NULL keys would match nothing and pile up."""
+    return batch.dropna(subset=keys)
+
+
 def new_trades(batch: DataFrame, stored: DataFrame) -> DataFrame:
     """Trades of the batch, once each, that are not stored yet.
 
     A trade's day never changes, so only stored days that the batch touches
-    are read; the two bounds are the only values that reach the driver.
+    are read, found by a semi-join on the partition column. Rows without a key,
+    such as those of broken lines, are no trades and never stored.
     """
-    low, high = batch.agg(F.min("trade_date"), F.max("trade_date")).first()
     keys = ["symbol", "trade_date", "trade_id"]
-    days = stored.where(F.col("trade_date").between(F.lit(low), F.lit(high)))
+    batch = with_keys(batch, keys)
+    days = stored.join(batch.select("trade_date").distinct(), "trade_date", "left_semi")
     return batch.dropDuplicates(keys).join(days.select(*keys), keys, "left_anti")
 
 
@@ -116,6 +123,7 @@ def new_klines(batch: DataFrame, stored: DataFrame) -> DataFrame:
     the more complete one.
     """
     keys = ["symbol", "opentime"]
+    batch = with_keys(batch, keys)
     rest = [c for c in batch.columns if c not in keys]
     fullest = F.max(F.struct("numberoftrades", *(c for c in rest if c != "numberoftrades")))
     once = batch.groupBy(*keys).agg(fullest.alias("row")).select(*keys, "row.*")
@@ -132,4 +140,4 @@ def new_klines(batch: DataFrame, stored: DataFrame) -> DataFrame:
 
 def new_rows(batch: DataFrame, stored: DataFrame, keys: list[str]) -> DataFrame:
     """Rows of a small batch, once per key, that are not stored yet."""
-    return batch.dropDuplicates(keys).join(stored.select(*keys), keys, "left_anti")
+    return with_keys(batch, keys).dropDuplicates(keys).join(stored.select(*keys), keys, "left_anti")

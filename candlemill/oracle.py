@@ -289,7 +289,7 @@ def _oracle() -> dict[str, str]:
             last_id AS "lastId" FROM w WHERE first_id > 0 AND last_id > 0""",
         "trade_fetch_plan": f"""WITH {t}, {DAY}, pages AS (
             SELECT symbol, last_id, unnest(generate_series(first_id, last_id, 50)) AS from_id
-            FROM w WHERE first_id > 0 AND last_id > 0)
+            FROM w WHERE first_id >= 0 AND last_id >= 0)
             SELECT symbol, from_id, least(from_id + 49, last_id) AS to_id FROM pages""",
         "kline_fetch_plan": f"""WITH {users}, {DAY}, pages AS (
             SELECT symbol, epoch_ms(close_time) AS close_ms, unnest(generate_series(
@@ -328,9 +328,7 @@ def _oracle() -> dict[str, str]:
             trade_time FROM t""",
         "stream_distinct_trades": f"""WITH {t} SELECT symbol, trade_id, {_r('price', 'price')},
             trade_time FROM t""",
-        "stream_klines": f"""WITH {t}, {KLINES} SELECT {KLINE_COLUMNS} FROM k
-            WHERE opentime + INTERVAL 1 MINUTE
-            <= (SELECT max(trade_time) FROM t) - INTERVAL 2 DAY""",
+        "stream_klines": f"""WITH {t}, {KLINES} SELECT {KLINE_COLUMNS} FROM k""",
     }
     for key, kind in FILTER_KEYS.items():
         out[key] = f"WITH {VERSIONS} " + " UNION ALL ".join(FILTERS[kind])

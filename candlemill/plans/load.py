@@ -129,10 +129,11 @@ def refresh_reports(
     counts = reports.daily_trade_counts(trades, as_of)
     warehouse.full_refresh(counts, f"{target}number_of_trades_symbols")
 
-    counts = spark.table(f"{target}number_of_trades_symbols")
+    # Days are counted anew, so trades that were loaded late are in.
     ledger = f"{target}daily_trade_ledger"
-    warehouse.overwrite_partitions(reports.ledger_row(counts, as_of.date()), ledger)
-    total = reports.ledger_total(spark.table(ledger), as_of.date())
+    days = reports.daily_ledger(trades.where(F.col("trade_date") <= F.lit(as_of.date())))
+    warehouse.overwrite_partitions(days.select("NumberOfTrades", "day"), ledger)
+    total = reports.total_trades(spark.table(ledger), trades, as_of)
     warehouse.full_refresh(total, f"{target}total_trades")
 
     warehouse.full_refresh(

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from datetime import date, datetime
+from datetime import datetime
 
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..functions.times import between_times, report_bounds
+from ..functions.times import between_times, report_bounds, utc_literal
 from ..functions.values import zero_if_missing
 
 
@@ -35,26 +35,14 @@ def daily_trade_counts(trades: DataFrame, as_of: datetime) -> DataFrame:
     )
 
 
-def total_trades(counts: DataFrame, previous: DataFrame) -> DataFrame:
-    """Old total plus the day's trades; neither missing part makes it NULL."""
-    parts = counts.select(F.col("NumberOfTrades").alias("n")).unionByName(
-        previous.select(F.col("TotalTrades").alias("n"))
-    )
-    return parts.agg(zero_if_missing(F.sum("n")).alias("TotalTrades"))
-
-
-def ledger_row(counts: DataFrame, day: date) -> DataFrame:
-    """The day's number of trades, as a row of the ledger."""
-    return counts.agg(zero_if_missing(F.sum("NumberOfTrades")).alias("NumberOfTrades")).withColumn(
-        "day", F.lit(day)
-    )
-
-
 def daily_ledger(trades: DataFrame) -> DataFrame:
-    """Trades per calendar day over a whole table."""
-    return trades.groupBy(F.to_date("trade_time").alias("day")).agg(
-        F.count("*").alias("NumberOfTrades")
-    )
+    """Trades per calendar day.
+
+    Where the table is partitioned by day, only the numbers of rows in its
+    files are read.
+    """
+    day = F.col("trade_date") if "trade_date" in trades.columns else F.to_date("trade_time")
+    return trades.groupBy(day.alias("day")).agg(F.count("*").alias("NumberOfTrades"))
 
 
 def running_totals(ledger: DataFrame) -> DataFrame:
@@ -72,11 +60,19 @@ def running_totals(ledger: DataFrame) -> DataFrame:
     )
 
 
-def ledger_total(ledger: DataFrame, day: date) -> DataFrame:
-    """The total up to and including a day."""
-    return ledger.where(F.col("day") <= F.lit(day)).agg(
-        zero_if_missing(F.sum("NumberOfTrades")).alias("TotalTrades")
-    )
+def total_trades(ledger: DataFrame, trades: DataFrame, as_of: datetime) -> DataFrame:
+    """All trades up to ``as_of``: whole days from the ledger, the last day from its trades.
+
+    Every trade counts once, whatever the hour of the report and however late
+    it was loaded; without any the total is 0, not NULL.
+    """
+    day = as_of.date()
+    last = trades.where((F.col("trade_time") >= F.lit(day).cast("timestamp")) & (F.col("trade_time") <= utc_literal(as_of)))
+    if "trade_date" in trades.columns:
+        last = last.where(F.col("trade_date") == F.lit(day))
+    parts = ledger.where(F.col("day") < F.lit(day)).select(F.col("NumberOfTrades").alias("n"))
+    parts = parts.unionByName(last.agg(F.count("*").alias("n")))
+    return parts.agg(zero_if_missing(F.sum("n")).alias("TotalTrades"))
 
 
 def symbol_trades(trades: DataFrame, symbol: str, as_of: datetime) -> DataFrame:

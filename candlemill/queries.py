@@ -465,10 +465,8 @@ def lineitem_trade_counts(spark, sf):
 
 @query
 def total_trades(spark, sf):
-    counts = reports.daily_trade_counts(tables.trades(spark, sf, day_up_to=AS_OF), AS_OF)
-    start, _ = times.report_bounds(AS_OF)
-    earlier = tables.trades(spark, sf).where(F.col("trade_time") < times.utc_literal(start))
-    return reports.total_trades(counts, earlier.agg(F.count("*").alias("TotalTrades")))
+    trades = tables.trades(spark, sf)
+    return reports.total_trades(reports.daily_ledger(trades), trades, AS_OF)
 
 
 @query
@@ -511,15 +509,20 @@ def stream_trades(spark, sf):
 
 @query
 def stream_distinct_trades(spark, sf):
+    """The same load in small batches, and once more without its checkpoint."""
     path = scratch_path(spark, "stream-distinct")
     root = _lake_root(spark, sf)
-    stream.load_distinct_trades(spark, root, path, scratch_path(spark, "state")).awaitTermination()
-    return spark.read.parquet(path).select("symbol", "trade_id", "price", "trade_time")
+    for _ in range(2):
+        state = scratch_path(spark, "state")
+        stream.load_new_trades(spark, root, path, state, files_per_batch=40).awaitTermination()
+    stored = stream.stored_trades(spark, path)
+    return stored.select("symbol", "trade_id", "price", "trade_time")
 
 
 @query
 def stream_klines(spark, sf):
     trades = _stream_trades(spark, sf)
     path = scratch_path(spark, "stream-klines")
-    stream.load_new_klines(spark, trades, path, scratch_path(spark, "state")).awaitTermination()
-    return spark.read.parquet(path)
+    state = scratch_path(spark, "state")
+    stream.load_new_klines(spark, trades, path, state, files_per_batch=40).awaitTermination()
+    return spark.read.parquet(path).drop("kline_date")

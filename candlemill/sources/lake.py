@@ -38,10 +38,12 @@ def read_lake_day(
     """One day of a lake table, for one symbol or for all of them.
 
     Only that day's directories are listed, so the cost does not grow with the
-    history kept in the lake.
+    history kept in the lake. A symbol is a filter on the partition column, not
+    part of the path, where some of its characters would be escaped.
     """
-    path = f"{root}/{table}/symbol={symbol or '*'}/year={day:%Y}/month={day:%m}/day={day:%d}"
-    return _scan(spark, root, table, [path])
+    path = f"{root}/{table}/symbol=*/year={day:%Y}/month={day:%m}/day={day:%d}"
+    rows = _scan(spark, root, table, [path])
+    return rows if symbol is None else rows.where(F.col("symbol") == symbol)
 
 
 def lake_slice(lake: DataFrame, symbol: str, day: date) -> DataFrame:

@@ -2,10 +2,9 @@
 
 Each run takes what arrived since the last one and stops. Trades are appended
 batch by batch against the stored ones, which is exact however late a file
-comes. Candles follow from the stored trades and are emitted once, when their
-minute is behind the watermark; a trade that is stored more than ``late_by``
-after newer ones does not reach its candle, so ``late_by`` must cover the
-horizon of late files. The batch job has no such horizon.
+comes. Candles follow from the stored trades: every batch names the days it
+touches, and those days are computed anew and replaced. Nothing waits for a
+watermark, no state is kept, and a repeated batch changes nothing.
 """
 
 from __future__ import annotations
@@ -16,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.clean import clean_trades
-from ..operators.derive import ID_BITS_PER_MINUTE, ohlc, second_of_minute, trade_order
+from ..operators.derive import klines_from_trades
 from ..operators.incremental import new_trades
 from ..schemas import WAREHOUSE, lake_schema
 
@@ -31,29 +30,6 @@ def read_trades(
     return clean_trades(reader.parquet(f"{lake_root}/Trades"))
 
 
-def distinct_trades(trades: DataFrame, late_by: str) -> DataFrame:
-    """Every trade once, for sources without a table to compare with.
-
-    State is kept per trade and dropped behind the watermark.
-    """
-    return trades.withWatermark("trade_time", late_by).dropDuplicatesWithinWatermark(
-        ["symbol", "trade_id"]
-    )
-
-
-def closed_klines(trades: DataFrame, late_by: str, wide_ids: bool = False) -> DataFrame:
-    """1-minute candles, each emitted once its minute is behind the watermark."""
-    order = trade_order(second_of_minute(), ID_BITS_PER_MINUTE, wide_ids)
-    return (
-        trades.withWatermark("trade_time", late_by)
-        .groupBy("symbol", F.window("trade_time", "1 minute").alias("w"))
-        .agg(*ohlc(order))
-        .withColumn("opentime", F.col("w.start"))
-        .withColumn("closetime", F.col("w.start") + F.expr("INTERVAL 59 SECONDS"))
-        .drop("w")
-    )
-
-
 def stored_trades(spark: SparkSession, path: str) -> DataFrame:
     """The trades written so far; none before the first run."""
     schema = WAREHOUSE["trades"].schema
@@ -94,42 +70,40 @@ def load_new_trades(
     )
 
 
-def _append_available(rows: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    return (
-        rows.writeStream.format("parquet")
-        .outputMode("append")
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start(path)
-    )
-
-
-def load_distinct_trades(
-    spark: SparkSession,
-    lake_root: str,
-    path: str,
-    checkpoint: str,
-    late_by: str = "2 days",
-    files_per_batch: int | None = None,
-) -> StreamingQuery:
-    """Append trades once each by state alone, without reading the stored ones."""
-    trades = distinct_trades(read_trades(spark, lake_root, files_per_batch), late_by)
-    return _append_available(trades, path, checkpoint)
-
-
 def load_new_klines(
     spark: SparkSession,
     trades_path: str,
     path: str,
     checkpoint: str,
-    late_by: str = "2 days",
     files_per_batch: int | None = None,
 ) -> StreamingQuery:
-    """Candles of the minutes closed by the trades stored since the last run.
+    """Candles of the days that newly stored trades touch, replaced as a whole.
 
-    The stored trades are distinct already, so only the candles hold state.
+    The candles lie under ``path`` by symbol and day. A trade that comes late
+    changes the candles of its own day.
     """
     reader = spark.readStream.schema(WAREHOUSE["trades"].schema)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return _append_available(closed_klines(reader.parquet(trades_path), late_by), path, checkpoint)
+
+    def replace(batch: DataFrame, _: int) -> None:
+        touched = batch.select("symbol", "trade_date").distinct()
+        stored = stored_trades(batch.sparkSession, trades_path)
+        days = stored.join(touched, ["symbol", "trade_date"], "left_semi")
+        (
+            klines_from_trades(days)
+            .withColumn("kline_date", F.to_date("opentime"))
+            .hint("rebalance", "symbol", "kline_date")
+            .write.partitionBy("symbol", "kline_date")
+            .option("partitionOverwriteMode", "dynamic")
+            .mode("overwrite")
+            .parquet(path)
+        )
+
+    return (
+        reader.parquet(trades_path)
+        .writeStream.foreachBatch(replace)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )

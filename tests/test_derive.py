@@ -53,19 +53,17 @@ def test_tie_in_one_second_is_broken_by_id(spark):
     assert derive.last_prices(t).collect()[0].prevClosePrice == 3
 
 
-def test_an_id_too_large_to_order_fails_the_job(spark):
-    t = data.trades(spark, [("A", 1 << 57, "3", "1", T0)])
-    with pytest.raises(Exception, match="out of range"):
-        derive.klines_from_trades(t).collect()
-    assert derive.klines_from_trades(t, wide_ids=True).collect()[0].openPrice == 3
-
-
-def test_wide_ids_give_the_same_result(spark):
-    t = data.trades(spark, random_trades(seed=4))
-    wide = derive.klines_from_trades(t, wide_ids=True)
-    assert data.rows(wide) == data.rows(derive.klines_from_trades(t))
-    wide = derive.ticker_from_trades(t, T0, wide_ids=True)
-    assert data.rows(wide) == data.rows(derive.ticker_from_trades(t, T0))
+def test_any_id_orders_trades(spark):
+    big = 1 << 62
+    t = data.trades(spark, [("A", big + 1, "3", "1", T0), ("A", big, "1", "1", T0), ("A", 5, "2", "1", T0)])
+    k = derive.klines_from_trades(t).collect()[0]
+    assert (k.openPrice, k.closePrice) == (2, 3)
+    assert derive.last_prices(t).collect()[0].prevClosePrice == 3
+
+
+def test_last_closes_need_a_whole_minute(spark):
+    with pytest.raises(ValueError, match="whole minutes"):
+        derive.last_closes(derive.klines_from_trades(data.trades(spark, [])), T0 + timedelta(seconds=30))
 
 
 def test_ticker_equals_brute_force(spark):

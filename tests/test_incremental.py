@@ -41,7 +41,7 @@ def test_valid_tickers_need_both_ids(spark):
 
 def test_trade_pages_cover_each_id_once(spark, monkeypatch):
     monkeypatch.setattr(incremental, "PAGES_PER_BLOCK", 3)
-    spans = [("A", 1, 10_500), ("B", 7, 7), ("C", 5, 3), ("D", 1000, 4000)]
+    spans = [("A", 1, 10_500), ("E", 0, 1500), ("B", 7, 7), ("C", 5, 3), ("D", 1000, 4000)]
     plan = incremental.trade_fetch_plan(data.raw_ticker(spark, [(*s, T0) for s in spans]))
     expect = [
         (symbol, start, min(start + 999, last))

@@ -123,3 +123,12 @@ def test_days_come_from_the_argument(spark, tmp_path):
     raw = data.raw_trades(spark, [("A", 1, "1", "1", datetime(2020, 2, 2))])
     lake.write_lake(raw, str(tmp_path), "Trades", F.to_date(F.timestamp_millis("time")))
     assert lake.read_lake_day(spark, str(tmp_path), "Trades", date(2020, 2, 2)).count() == 1
+
+
+def test_symbols_that_paths_escape_are_found(spark, tmp_path):
+    root = str(tmp_path)
+    names = ["A/B", "A:C", "X[1]", "Y*", "Z=1"]
+    raw = data.raw_trades(spark, [(s, i, "1", "1", T0) for i, s in enumerate(names)])
+    lake.write_lake(raw, root, "Trades", DAY)
+    for name in names:
+        assert [r.symbol for r in lake.read_lake_day(spark, root, "Trades", DAY, name).collect()] == [name]

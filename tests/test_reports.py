@@ -19,20 +19,19 @@ def test_both_bounds_are_included(spark):
     assert [r.trade_id for r in series] == [1, 2]
 
 
-def test_total_is_never_null(spark):
-    counts = spark.createDataFrame([], "symbol string, NumberOfTrades bigint")
-    old = spark.createDataFrame([(41,)], "TotalTrades bigint")
-    assert data.rows(reports.total_trades(counts, old)) == [(41,)]
-    assert data.rows(reports.total_trades(counts, old.limit(0))) == [(0,)]
-    some = spark.createDataFrame([("A", 1)], counts.schema)
-    assert data.rows(reports.total_trades(some, old)) == [(42,)]
+def test_every_trade_counts_once(spark):
+    assert data.rows(reports.total_trades(reports.daily_ledger(data.trades(spark, [])), data.trades(spark, []), T0)) == [(0,)]
+    # One exactly a day before the report, one at its time, one after it.
+    times = [T0 - 3 * DAY, T0 - DAY, T0, T0 + SECOND]
+    t = data.trades(spark, [("A", i, "1", "1", w) for i, w in enumerate(times)])
+    for as_of, count in ((T0, 3), (T0 - DAY, 2), (T0 - DAY - SECOND, 1), (T0 + 5 * SECOND, 4), (T0 + DAY, 4)):
+        assert data.rows(reports.total_trades(reports.daily_ledger(t), t, as_of)) == [(count,)]
 
 
 def test_running_totals(spark):
     t = data.trades(spark, [("A", i, "1", "1", T0 - (i % 3) * DAY) for i in range(7)])
     got = [r.TotalTrades for r in reports.running_totals(reports.daily_ledger(t)).orderBy("day").collect()]
     assert got == [2, 4, 7]
-    assert data.rows(reports.ledger_total(reports.daily_ledger(t), (T0 - DAY).date())) == [(4,)]
 
 
 def test_all_symbols_at_once_equals_one_by_one(spark):

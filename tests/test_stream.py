@@ -51,32 +51,22 @@ def test_a_lost_checkpoint_adds_nothing(spark, tmp_path):
     assert stream.stored_trades(spark, out).count() == COUNT
 
 
-def test_state_alone_removes_copies(spark, tmp_path):
-    root, out, state = (str(tmp_path / n) for n in ("lake", "out", "state"))
-    lake.write_lake(some_trades(spark), root, "Trades", DAY)
-    lake.write_lake(some_trades(spark), root, "Trades", DAY)
-    run(stream.load_distinct_trades, spark, root, out, state)
-    assert spark.read.parquet(out).count() == COUNT
-    lake.write_lake(some_trades(spark), root, "Trades", DAY)
-    run(stream.load_distinct_trades, spark, root, out, state)
-    assert spark.read.parquet(out).count() == COUNT
-
-
-def test_candles_equal_the_batch_result(spark, tmp_path):
+def test_late_trades_change_their_candles(spark, tmp_path):
     root, trades, out = (str(tmp_path / n) for n in ("lake", "trades", "out"))
     states = [str(tmp_path / n) for n in ("trade-state", "kline-state")]
+    rows = [("A", i, str(i + 1), "2", T0 + timedelta(hours=7 * (i * 13 % 20)), False) for i in range(20)]
 
     def load():
-        run(stream.load_new_trades, spark, root, trades, states[0])
-        run(stream.load_new_klines, spark, trades, out, states[1], late_by="1 hour")
-
-    lake.write_lake(some_trades(spark), root, "Trades", DAY)
-    lake.write_lake(some_trades(spark), root, "Trades", DAY)
-    load()
-    closing = some_trades(spark, 9000, 1, T0 + timedelta(hours=5))
-    lake.write_lake(closing, root, "Trades", DAY)
+        run(stream.load_new_trades, spark, root, trades, states[0], files_per_batch=1)
+        run(stream.load_new_klines, spark, trades, out, states[1], files_per_batch=1)
+
+    for part in (rows[:9], rows[9:], rows[:3]):
+        lake.write_lake(data.raw_trades(spark, part), root, "Trades", DAY)
+        load()
+    late = [("A", 100, "99", "1", rows[0][4], False)]
+    lake.write_lake(data.raw_trades(spark, late), root, "Trades", DAY)
     load()
-    batch = derive.klines_from_trades(clean_trades(some_trades(spark)))
+    batch = derive.klines_from_trades(clean_trades(data.raw_trades(spark, rows + late)))
     got = spark.read.parquet(out).select(*batch.columns)
-    assert got.count() > 10
     assert data.rows(got) == data.rows(batch)
+    assert got.agg({"numberoftrades": "sum"}).first()[0] == 21
