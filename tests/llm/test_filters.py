@@ -1,0 +1,152 @@
+from __future__ import annotations
+
+import random
+import re
+import zlib
+
+import numpy as np
+from helpers import AWKWARD, docs, words
+
+import corpus_pipeline
+from candlemill.llm.decontaminate import Index, leaks
+from candlemill.llm.language import language
+from candlemill.llm.pii import base_spans, disclosing_terms, luhn, sanitise
+from candlemill.llm.quality import quality
+from candlemill.llm.toxicity import toxicity
+
+PATTERNS = [
+    r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    r"[0-9]([\x20-]?[0-9])+", r"\+[0-9][\x20().0-9-]+[0-9]",
+]
+
+
+def plain_spans(text):
+    out = []
+    for k, pattern in enumerate(PATTERNS):
+        for m in re.finditer(pattern, text):
+            digits = re.sub("[^0-9]", "", m.group())
+            if k == 1 and any(int(x) > 255 for x in m.group().split(".")):
+                continue
+            if k == 2 and not (14 <= len(digits) <= 19 and luhn(digits)):
+                continue
+            if k == 3 and not 10 <= len(digits) <= 15:
+                continue
+            out.append((m.start(), k, m.end()))
+    return sorted(out)
+
+
+def test_base_spans_equal_plain_patterns():
+    rng = random.Random(1)
+    parts = ["@", "a", "B.", "1", "23", " ", "-", "+", "(", "5.6", ".", "%", "_", "é", "x@y.z", "+1 (26", "9.9.9.9", "4111 1111 1111 111", "\n"]
+    for _ in range(5000):
+        text = "".join(rng.choice(parts) for _ in range(rng.randrange(25)))
+        assert base_spans(text) == plain_spans(text)
+    assert base_spans("a" * 200_000 + "@") == base_spans("7" * 200_000) == []
+
+
+def test_terms_of_one_person_go(spark):
+    rows = [(k, f"report {k} says zanzibor and {['blue', 'red', 'green'][k % 3]} wrote bob@mail.com about w{k}") for k in range(12)]
+    rows += [(100 + k, f"plain text {k} says nothing and wrote blue red green") for k in range(60)] + AWKWARD
+    frame = docs(spark, rows)
+    risky = {r.term for r in disclosing_terms(frame).collect()}
+    assert "zanzibor" in risky and not risky & {"and", "blue", "text", "nothing"}
+    got = {r.doc_id: r for r in sanitise(frame).collect()}
+    assert "bob@mail.com" not in got[1].text and "zanzibor" not in got[1].text and "[EMAIL]" in got[1].text
+    assert got[1].n_email == 1 and got[1].spans.startswith("term:") and got[101].text == rows[13][1]
+    assert got[9001].text is None and got[9002].text == "" and got[9001].spans == ""
+    # Copies are one context and disclose nothing.
+    same = docs(spark, [(k, rows[0][1]) for k in range(20)])
+    assert disclosing_terms(same).count() == 0
+    assert sanitise(frame.limit(0)).count() == 0
+
+
+def test_wand_equals_exhaustive_scores():
+    rng = random.Random(2)
+    index = Index([(k, words(rng, rng.randrange(1, 50), 120) + ". " + words(rng, 4, 120)) for k in range(70)] + [(99, ""), (98, None)])
+    for _ in range(100):
+        own = rng.choice(index.words)
+        terms = np.unique([index.terms[w] for w in rng.sample(sorted(index.terms), 15) + own[: rng.randrange(len(own) + 1)]])
+        scores = np.zeros(len(index.ids))
+        for t in terms:
+            scores[index.docs[t]] += index.impacts[t]
+        for threshold in (0.05, 0.3, 0.8):
+            assert {k for k, _ in index.retrieve(terms, threshold)} == set(np.flatnonzero(scores >= threshold - 1e-9))
+
+
+def test_leaks_are_found_and_others_left(spark):
+    rng = random.Random(4)
+    items = [(k, words(rng, 30, 5000) + ". " + words(rng, 8, 5000)) for k in range(25)] + [(50, None), (51, ""), (None, "x y z")]
+    rows = [(k, words(rng, 200, 5000)) for k in range(30)]
+    rows += [(100 + k, words(rng, 37 * k, 5000) + " " + items[k][1].upper() + " " + words(rng, 90, 5000)) for k in range(25)] + AWKWARD
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in leaks(docs(spark, rows), bench).collect()}
+    assert got == {(100 + k, k) for k in range(25)}
+    assert leaks(docs(spark, rows), bench.limit(0)).count() == leaks(docs(spark, rows).limit(0), bench).count() == 0
+
+
+def labelled(n=400):
+    rng = random.Random(8)
+    rows, labels = [], []
+    for k in range(n):
+        toxic, junk = k % 5 == 0, k % 4 == 1
+        w = ["the", "of", "and", *words(rng, 60, 300).split()]
+        if toxic:
+            w[7] = w[30] = rng.choice(["gruntle", "gruntlest", "snarfing"])
+        text = " ".join(w) + "."
+        rows.append((k, "### $$$ " * 30 + text.upper() if junk else text))
+        labels.append((k, int(not junk), int(toxic)))
+    return rows, labels
+
+
+def test_classifiers_on_held_out_rows(spark):
+    rows, marks = labelled()
+    labels = spark.createDataFrame([*marks, (None, 1, 1), (9001, None, None), (1, 0, 0)], "doc_id long, quality int, toxic int")
+    frame = docs(spark, rows + AWKWARD)
+    truth = {k: (q, t) for k, q, t in marks}
+    for fit, at in ((toxicity, 1), (quality, 0)):
+        got = fit(frame, labels).collect()
+        assert len(got) == len(rows) + len(AWKWARD) and all(0 <= r.score <= 1 for r in got)
+        for r in got:
+            assert r.held_out == (r.doc_id is not None and zlib.crc32(str(r.doc_id).encode()) % 3 == 1)
+        held = [r for r in got if r.held_out and r.doc_id in truth]
+        right = sum(r.predicted == truth[r.doc_id][at] for r in held)
+        assert right >= 0.9 * len(held)
+        assert fit(frame, labels.limit(0)).count() == len(got)
+        assert fit(frame.limit(0), labels).count() == 0
+
+
+def test_languages(spark):
+    rng = random.Random(9)
+    kinds = {"aa": "abcde", "bb": "vwxyz", "cc": "mnopq"}
+    rows = [(k, " ".join("".join(rng.choice(kinds[lang]) for _ in range(5)) for _ in range(30)), lang) for k, lang in enumerate(["aa", "bb", "cc"] * 60)]
+    odd = [(500, None, "aa"), (501, "", "bb"), (502, "123 !!", "cc"), (503, "abcab", None), (None, "vwxvw", "aa")]
+    frame = spark.createDataFrame(rows + odd, "doc_id long, text string, lang string")
+    got = {r.doc_id: r for r in language(frame).collect()}
+    held = [k for k, _, _ in rows if got[k].held_out]
+    assert all(got[k].lang_pred == rows[k][2] for k in held) and held
+    assert [got[k].lang_pred for k in (500, 501, 502, 503, None)] == ["und", "und", "und", "aa", "bb"]
+    assert got[500].score == 0.0
+    assert {r.lang_pred for r in language(frame.where("lang is null")).collect()} == {"und"}
+
+
+def test_every_stage_on_awkward_rows(spark, tmp_path):
+    rows, marks = labelled(120)
+    rng = random.Random(1)
+    item = words(rng, 40, 9000) + ". the answer is forty two here"
+    folder = str(tmp_path)
+    spark.createDataFrame(marks, "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
+    extra = [(1000, item), (1001, "mail me at joe@site.org now"), (1002, words(rng, 80)), (1002, words(rng, 80))]
+    docs(spark, rows + AWKWARD + extra).write.parquet(f"{folder}/documents.parquet")
+    frame = spark.read.parquet(f"{folder}/documents.parquet")
+    columns = frame.columns
+    for name, stage in corpus_pipeline.STAGES:
+        stage(spark, frame, folder).write.parquet(f"{folder}/{name}")
+        frame = spark.read.parquet(f"{folder}/{name}")
+        if name != "packing":
+            assert frame.columns == columns
+            ids = [r.doc_id for r in frame.select("doc_id").collect()]
+            assert 9001 in ids and 9002 in ids and None in ids
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{folder}/pii").collect()}
+    assert 1000 not in texts and texts[1001] == "mail me at [EMAIL] now" and 9005 not in texts
+    assert {r.doc_id for r in frame.collect()} == set(texts)
