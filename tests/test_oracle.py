@@ -1,4 +1,4 @@
-"""Every registered query against its SQL."""
+"""Every registered query on market data against its SQL."""
 
 from __future__ import annotations
 
@@ -6,10 +6,12 @@ import pytest
 from oracle import compare, connect
 
 import __spark_entry__ as driver
+from candlemill.oracle import oracle_sql
+from candlemill.queries import registered
 
 SF = "/root/testdata/sf0.001"
-QUERIES = driver.queries()
-SQL = driver.oracle_sql()
+QUERIES = registered()
+SQL = oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -31,6 +33,7 @@ def test_matches_sql(spark, con, name):
 
 def test_every_query_has_sql():
     assert set(SQL) == set(QUERIES)
+    assert set(QUERIES) <= set(driver.queries()) and set(SQL) <= set(driver.oracle_sql())
 
 
 def test_entry(spark):
