@@ -2,15 +2,17 @@
 
 The inverted index holds the test items; every passage of every document is a
 query. Impacts are divided by the score an item gives itself, so one threshold
-holds for all items. Upper bounds from the highest impact of a term drop nearly
-all passages at once with running sums; the rest is traversed with the bounds
-of blocks of items. What is retrieved is verified: the words of the question
-and of the answer that lie in shared five-word shingles.
+holds for all items. Sums of the highest impact of each term drop passages, sums
+of its highest impact in each block of items drop blocks, for many passages at
+once; the blocks that can still reach the threshold are traversed by pivots. What
+is retrieved is verified: the words of the question and of the answer that lie in
+shared five-word shingles.
 """
 
 from __future__ import annotations
 
 import re
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -25,16 +27,24 @@ THRESHOLD = 0.6
 SHINGLE = 5
 QUESTION_OVERLAP = 0.8
 ANSWER_OVERLAP = 0.5
-BLOCK = 16
+BLOCK = 8
 #: Items in one index; a larger benchmark is searched in several.
 SHARD_ITEMS = 20_000
 _WORD = re.compile(r"\w+")
+_SLACK = 1e-9
+#: Passages times their words times blocks that are summed at once.
+_CELLS = 1 << 22
 
 
 def words_of(text: str | None) -> list[str]:
     return _WORD.findall((text or "").lower())
 
 
+def _places(sizes: np.ndarray) -> np.ndarray:
+    """0, 1, 2 … for each size, behind each other."""
+    return np.arange(int(sizes.sum())) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+
+
 def answer_start(text: str, words: list[str]) -> int:
     """Place of the first word of the answer: the last sentence, or the last third of a single one."""
     sentences = [s for s in re.split(r"(?<=[.?!:])\s+|\n+", text) if _WORD.search(s)]
@@ -72,78 +82,99 @@ class Index:
             whole = sum(impact.values())
             for t, x in impact.items():
                 postings[t].append((d, x / whole))
-        self.docs = [np.array([d for d, _ in p], np.int64) for p in postings]
-        self.impacts = [np.array([x for _, x in p]) for p in postings]
-        self.bound = np.array([x.max() if len(x) else 0.0 for x in self.impacts])
-        self.blocks: list[dict[int, float]] = []
-        for d, x in zip(self.docs, self.impacts, strict=True):
-            best: dict[int, float] = {}
-            for at, value in zip((d // BLOCK).tolist(), x.tolist(), strict=True):
-                best[at] = max(best.get(at, 0.0), value)
-            self.blocks.append(best)
+        #: Postings of all terms behind each other; a list is a term's postings in one block of items.
+        self.docs = np.array([d for p in postings for d, _ in p], np.int64)
+        self.impacts = np.array([x for p in postings for _, x in p])
+        sizes = np.array([len(p) for p in postings], np.int64)
+        term = np.repeat(np.arange(size), sizes)
+        self.n_blocks = -(-n // BLOCK)
+        key = term * max(1, self.n_blocks) + self.docs // BLOCK
+        self.list_starts = np.flatnonzero(np.diff(key, prepend=-1))
+        self.list_ends = np.append(self.list_starts[1:], len(key))
+        self.list_block = self.docs[self.list_starts] // BLOCK
+        self.list_bound = np.maximum.reduceat(self.impacts, self.list_starts) if len(key) else np.zeros(0)
+        #: The lists of term t are those from term_lists[t] to term_lists[t + 1].
+        self.term_lists = np.searchsorted(term[self.list_starts], np.arange(size + 1))
+        self.bound = np.array([max((x for _, x in p), default=0.0) for p in postings])
         #: A passage has room for two of the longest item, so each item is inside one of them.
         self.passage = 2 * max(map(len, self.words), default=1)
 
-    def retrieve(self, terms: np.ndarray, threshold: float) -> list[tuple[int, float]]:
-        """Items whose score for the distinct ``terms`` reaches the threshold, by block-max WAND."""
-        lists = [[int(t), 0] for t in terms]
+    def traverse(self, lists: np.ndarray, threshold: float) -> list[tuple[int, float]]:
+        """Items of one block that reach the threshold, by WAND with the block's bounds."""
+        cursors = []
+        for k in lists.tolist():
+            part = slice(self.list_starts[k], self.list_ends[k])
+            cursors.append([self.docs[part].tolist(), self.impacts[part].tolist(), 0, float(self.list_bound[k])])
         out = []
-        while True:
-            lists = [c for c in lists if c[1] < len(self.docs[c[0]])]
-            lists.sort(key=lambda c: self.docs[c[0]][c[1]])
+        while cursors:
+            cursors.sort(key=lambda c: c[0][c[2]])
             total, pivot = 0.0, -1
-            for k, (t, _) in enumerate(lists):
-                total += self.bound[t]
-                if total >= threshold - 1e-9:
-                    pivot = k
+            for c in cursors:
+                total += c[3]
+                if total >= threshold - _SLACK:
+                    pivot = c[0][c[2]]
                     break
             if pivot < 0:
-                return out
-            item = int(self.docs[lists[pivot][0]][lists[pivot][1]])
-            while pivot + 1 < len(lists) and self.docs[lists[pivot + 1][0]][lists[pivot + 1][1]] == item:
-                pivot += 1
-            block = item // BLOCK
-            reached = sum(self.blocks[t].get(block, 0.0) for t, _ in lists[: pivot + 1])
-            if reached < threshold - 1e-9:
-                # No item of this block up to the next list's can reach it.
-                target = (block + 1) * BLOCK
-                if pivot + 1 < len(lists):
-                    target = min(target, int(self.docs[lists[pivot + 1][0]][lists[pivot + 1][1]]))
-                target = max(target, item + 1)
-            elif self.docs[lists[0][0]][lists[0][1]] == item:
-                score = sum(float(self.impacts[t][at]) for t, at in lists[: pivot + 1])
-                if score >= threshold - 1e-9:
-                    out.append((item, score))
-                target = item + 1
-            else:
-                target = item
-            for c in lists[: pivot + 1]:
-                if self.docs[c[0]][c[1]] < target:
-                    c[1] += int(np.searchsorted(self.docs[c[0]][c[1] :], target))
-
-    def search(self, words: list[str], threshold: float) -> dict[int, float]:
-        """Best score of each retrieved item over the passages of a document."""
-        terms = np.fromiter((self.terms.get(w, 0) for w in words), np.int64, len(words))
-        if not terms.any():
-            return {}
+                break
+            target = pivot
+            if cursors[0][0][cursors[0][2]] == pivot:
+                score = sum(c[1][c[2]] for c in cursors if c[0][c[2]] == pivot)
+                if score >= threshold - _SLACK:
+                    out.append((pivot, score))
+                target = pivot + 1
+            for c in cursors:
+                while c[2] < len(c[0]) and c[0][c[2]] < target:
+                    c[2] += 1
+            cursors = [c for c in cursors if c[2] < len(c[0])]
+        return out
+
+    def search(self, docs: list[list[str]], threshold: float) -> list[dict[int, float]]:
+        """Best score of each retrieved item over the passages of each document.
+
+        Sums of the terms' bounds drop passages, sums of the blocks' bounds
+        drop blocks of items for all passages at once, and what stays is traversed.
+        """
+        best: list[dict[int, float]] = [{} for _ in docs]
+        sizes = np.array([len(d) for d in docs], np.int64)
+        terms = np.fromiter(map(self.terms.get, chain.from_iterable(docs), repeat(0)), np.int64, int(sizes.sum()))
+        ends_of = np.cumsum(sizes)
         stride = max(1, self.passage // 2)
+        per_doc = -(-np.maximum(1, sizes - stride) // stride)
+        doc_of = np.repeat(np.arange(len(docs)), per_doc)
+        starts = (ends_of - sizes)[doc_of] + _places(per_doc) * stride
+        ends = np.minimum(starts + self.passage, ends_of[doc_of])
         sums = np.concatenate([[0.0], np.cumsum(self.bound[terms])])
-        starts = np.arange(0, max(1, len(words) - stride), stride)
-        ends = np.minimum(starts + self.passage, len(words))
-        best: dict[int, float] = {}
-        for k in np.flatnonzero(sums[ends] - sums[starts] >= threshold - 1e-9):
-            own = np.unique(terms[starts[k] : ends[k]])
-            own = own[own > 0]
-            if self.bound[own].sum() >= threshold - 1e-9:
-                for item, score in self.retrieve(own, threshold):
-                    best[item] = max(best.get(item, 0.0), score)
+        left = np.flatnonzero(sums[ends] - sums[starts] >= threshold - 1e-6)  # running sums are less exact
+        step = max(1, _CELLS // max(1, self.n_blocks * self.passage))
+        for low in range(0, len(left), step):
+            part = left[low : low + step]
+            words = ends[part] - starts[part]
+            found = terms[np.repeat(starts[part], words) + _places(words)]
+            own = np.unique((np.repeat(np.arange(len(part)), words) * len(self.bound) + found)[found > 0])
+            passage, term = own // len(self.bound), own % len(self.bound)
+            n_lists = self.term_lists[term + 1] - self.term_lists[term]
+            lists = np.repeat(self.term_lists[term], n_lists) + _places(n_lists)
+            cells = np.repeat(passage, n_lists) * self.n_blocks + self.list_block[lists]
+            reached = np.bincount(cells, self.list_bound[lists], len(part) * self.n_blocks) >= threshold - 2 * _SLACK
+            kept = np.flatnonzero(reached[cells])
+            kept = kept[np.argsort(cells[kept], kind="stable")]
+            cuts = np.flatnonzero(np.diff(cells[kept])) + 1
+            for group in np.split(kept, cuts) if len(kept) else ():
+                scores = best[doc_of[part[cells[group[0]] // self.n_blocks]]]
+                for item, score in self.traverse(lists[group], threshold):
+                    scores[item] = max(scores.get(item, 0.0), score)
         return best
 
-    def overlaps(self, item: int, words: list[str]) -> tuple[float, float]:
-        """Shares of the question's and the answer's words that lie in shingles of the document."""
+    def overlaps(self, item: int, words: list[str], shingles: dict[int, set]) -> tuple[float, float]:
+        """Shares of the question's and the answer's words that lie in shingles of the document.
+
+        ``shingles`` keeps the document's shingles by size for its other items.
+        """
         own = self.words[item]
         size = min(SHINGLE, len(own))
-        seen = {tuple(words[k : k + size]) for k in range(len(words) - size + 1)}
+        if size not in shingles:
+            shingles[size] = {tuple(words[k : k + size]) for k in range(len(words) - size + 1)}
+        seen = shingles[size]
         covered = np.zeros(len(own), bool)
         for k in range(len(own) - size + 1):
             if tuple(own[k : k + size]) in seen:
@@ -174,10 +205,11 @@ def leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -
                 rows = {k: [] for k in ("doc_id", "item_id", "score", "question_overlap", "answer_overlap")}
                 if not index.ids:
                     return None
-                for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                    words = words_of(text)
-                    for item, score in index.search(words, threshold).items():
-                        question, answer = index.overlaps(item, words)
+                texts = [words_of(t) for t in batch.column("text").to_pylist()]
+                for doc, words, found in zip(batch.column("doc_id").to_pylist(), texts, index.search(texts, threshold), strict=True):
+                    shingles: dict[int, set] = {}
+                    for item, score in found.items():
+                        question, answer = index.overlaps(item, words, shingles)
                         if question >= QUESTION_OVERLAP and answer >= ANSWER_OVERLAP:
                             for name, value in zip(rows, (doc, index.ids[item], score, question, answer), strict=True):
                                 rows[name].append(value)
