@@ -116,8 +116,8 @@ def new_trades(batch: DataFrame, stored: DataFrame) -> DataFrame:
     return batch.dropDuplicates(keys).join(days.select(*keys), keys, "left_anti")
 
 
-def new_klines(batch: DataFrame, stored: DataFrame) -> DataFrame:
-    """Candles of the batch, once per symbol and open time, not stored yet.
+def fullest_klines(batch: DataFrame) -> DataFrame:
+    """Candles once per symbol and open time: the row with most trades.
 
     Overlapping pages may hold one candle twice; the one with more trades is
     the more complete one.
@@ -127,6 +127,30 @@ def new_klines(batch: DataFrame, stored: DataFrame) -> DataFrame:
     rest = [c for c in batch.columns if c not in keys]
     fullest = F.max(F.struct("numberoftrades", *(c for c in rest if c != "numberoftrades")))
     once = batch.groupBy(*keys).agg(fullest.alias("row")).select(*keys, "row.*")
+    return once.select(*batch.columns)
+
+
+def changed_klines(batch: DataFrame, stored: DataFrame) -> DataFrame:
+    """Candles of the batch that are not stored yet or fuller than the stored ones.
+
+    The latter keep their ``kline_id``, new ones have none. Only stored days
+    (``open_date``) that the batch touches are read.
+    """
+    keys = ["symbol", "open_date", "opentime"]
+    once = fullest_klines(batch)
+    days = stored.join(once.select("open_date").distinct(), "open_date", "left_semi")
+    old = days.select(*keys, "kline_id", F.col("numberoftrades").alias("_stored"))
+    return (
+        once.join(old, keys, "left")
+        .where(F.col("_stored").isNull() | (F.col("numberoftrades") > F.col("_stored")))
+        .select(*batch.columns, "kline_id")
+    )
+
+
+def new_klines(batch: DataFrame, stored: DataFrame) -> DataFrame:
+    """Candles of the batch, once per symbol and open time, not stored yet."""
+    keys = ["symbol", "opentime"]
+    batch = with_keys(batch, keys)
     seconds = F.unix_seconds("opentime")
     low, high = batch.agg(F.min(seconds), F.max(seconds)).first()
     span = stored.where(
@@ -135,6 +159,7 @@ def new_klines(batch: DataFrame, stored: DataFrame) -> DataFrame:
             F.timestamp_seconds(F.lit(high).cast("bigint")),
         )
     )
+    once = fullest_klines(batch)
     return once.join(span.select(*keys), keys, "left_anti").select(*batch.columns)
 
 

@@ -272,6 +272,10 @@ def _oracle() -> dict[str, str]:
             WHERE trade_time >= {MIDNIGHT}""",
         "append_new_klines": f"""WITH {t}, {KLINES} SELECT symbol, opentime,
             n AS numberoftrades FROM k WHERE opentime >= {MIDNIGHT}""",
+        "replace_partial_klines": f"""WITH {t}, {KLINES} SELECT symbol, opentime,
+            n AS numberoftrades,
+            CAST(CASE WHEN opentime < {MIDNIGHT} THEN 7 ELSE 0 END AS BIGINT) AS kline_id
+            FROM k WHERE opentime >= {MIDNIGHT} OR minute(opentime) % 2 = 0""",
         "page_concat": f"""WITH {t}, pages AS (
             SELECT symbol, trade_id FROM t WHERE trade_time <= TIMESTAMP '2024-01-15 12:00:00'
             UNION ALL SELECT symbol, trade_id FROM t WHERE trade_time >= {MIDNIGHT})

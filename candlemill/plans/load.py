@@ -6,7 +6,7 @@ run again for the same day without changing the result.
 
 from __future__ import annotations
 
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -96,12 +96,21 @@ def load_trades(spark: SparkSession, lake_root: str, day: date, database: str) -
 
 
 def load_klines(spark: SparkSession, lake_root: str, day: date, database: str) -> None:
+    """New candles, and fuller ones in the place of those stored while their minute was open."""
     stored = spark.table(f"`{database}`.klines")
     batch = clean.clean_klines(lake.read_lake_day(spark, lake_root, "Klines", day))
-    new = incremental.new_klines(batch, stored)
+    changed = pin(incremental.changed_klines(batch.withColumn("open_date", F.to_date("opentime")), stored))
     latest = keys.latest_ids(stored, "kline_id")
+    new = changed.where("kline_id is null").drop("kline_id")
     numbered = keys.sequential_ids(new, ["symbol"], ["opentime"], "kline_id", latest)
-    warehouse.append(numbered, database, "klines")
+    same = stored.join(changed.select("open_date").distinct(), "open_date", "left_semi").join(
+        changed.select("symbol", "open_date", "opentime"), ["symbol", "open_date", "opentime"], "left_anti"
+    )
+    # Written first, because a table can't be read while its partitions are replaced.
+    days = pin(
+        changed.where("kline_id is not null").unionByName(numbered).unionByName(same.select(changed.columns))
+    )
+    warehouse.overwrite_partitions(warehouse.laid_out(days, "klines"), f"`{database}`.klines")
 
 
 def load_ticker(spark: SparkSession, lake_root: str, day: date, database: str) -> None:
@@ -123,7 +132,12 @@ def refresh_reports(
     """Replace the four report tables for the day up to ``as_of``."""
     warehouse.create_reports(spark, report_database)
     trades = spark.table(f"`{database}`.trades")
-    klines = spark.table(f"`{database}`.klines")
+    # A day more at both ends, whatever the zone of ``as_of``; the report cuts exactly.
+    klines = spark.table(f"`{database}`.klines").where(
+        F.col("open_date").between(
+            F.lit(as_of.date() - timedelta(days=2)), F.lit(as_of.date() + timedelta(days=1))
+        )
+    )
     target = f"`{report_database}`."
 
     counts = reports.daily_trade_counts(trades, as_of)

@@ -375,6 +375,20 @@ def append_new_klines(spark, sf):
     return new.select("symbol", "opentime", "numberoftrades")
 
 
+@query
+def replace_partial_klines(spark, sf):
+    """Of the stored candles, those of even minutes lack a trade that the batch has."""
+    klines = derive.klines_from_trades(tables.trades(spark, sf)).withColumn("open_date", F.to_date("opentime"))
+    lacking = 1 - F.minute("opentime") % 2
+    stored = klines.where(F.col("opentime") < times.utc_literal(MIDNIGHT)).select(
+        "symbol", "opentime", "open_date", (F.col("numberoftrades") - lacking).alias("numberoftrades"),
+        F.lit(7).cast("bigint").alias("kline_id"),
+    )
+    changed = incremental.changed_klines(klines, stored)
+    kept = F.coalesce("kline_id", F.lit(0).cast("bigint")).alias("kline_id")
+    return changed.select("symbol", "opentime", "numberoftrades", kept)
+
+
 @query
 def page_concat(spark, sf):
     trades = tables.trades(spark, sf)

@@ -153,9 +153,10 @@ WAREHOUSE = {
         f"kline_id bigint, opentime timestamp, openPrice {PRICE}, highPrice {PRICE}, "
         f"lowPrice {PRICE}, closePrice {PRICE}, volume {AMOUNT}, closetime timestamp, "
         f"quoteassetvolume {AMOUNT}, numberoftrades bigint, "
-        f"takerbaseassetvolume {AMOUNT}, takerbuyquoteassetvolume {AMOUNT}, symbol string",
-        ("symbol",),
-        ("opentime",),
+        f"takerbaseassetvolume {AMOUNT}, takerbuyquoteassetvolume {AMOUNT}, symbol string, "
+        "open_date date",
+        ("open_date",),
+        ("symbol", "opentime"),
     ),
     "ticker_24h": Table(
         f"ticker_id bigint, priceChange {PRICE}, priceChangePercent {PRICE}, "

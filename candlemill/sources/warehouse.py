@@ -35,8 +35,8 @@ def create_reports(spark: SparkSession, database: str = REPORT_DATABASE) -> None
     create_tables(spark, database, REPORTS)
 
 
-def append(df: DataFrame, database: str, name: str) -> None:
-    """Append to a partitioned table: one write for all symbols.
+def laid_out(df: DataFrame, name: str) -> DataFrame:
+    """Columns and rows as the table keeps them.
 
     Rows are rebalanced by partition, so a partition is a few well-sized files
     and a dominant symbol is split over several tasks; sorting inside the files
@@ -44,11 +44,17 @@ def append(df: DataFrame, database: str, name: str) -> None:
     """
     table = WAREHOUSE[name]
     rows = df.select(*(f.name for f in table.schema))
-    if table.partitions:
-        rows = rows.hint("rebalance", *table.partitions).sortWithinPartitions(
-            *table.partitions, *table.order
-        )
-    writer = rows.write.mode("append").format("parquet")
+    if not table.partitions:
+        return rows
+    return rows.hint("rebalance", *table.partitions).sortWithinPartitions(
+        *table.partitions, *table.order
+    )
+
+
+def append(df: DataFrame, database: str, name: str) -> None:
+    """Append to a table: one write for all symbols."""
+    table = WAREHOUSE[name]
+    writer = laid_out(df, name).write.mode("append").format("parquet")
     if table.partitions:
         writer = writer.partitionBy(*table.partitions)
     writer.saveAsTable(f"`{database}`.`{name}`")

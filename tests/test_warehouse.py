@@ -85,6 +85,25 @@ def test_daily_run_and_its_repetition(spark, db, tmp_path):
     assert data.rows(spark.table(f"{db}_reports.total_trades")) == [(11,)]
 
 
+def test_a_fuller_candle_replaces_the_stored_one(spark, db, tmp_path):
+    root = str(tmp_path)
+    fill_lake(spark, root)
+    load.run_day(spark, root, T0, "BTC", db, f"{db}_reports")
+    before = {(r.symbol, r.opentime): r for r in spark.table(f"{db}.klines").collect()}
+    later = DAY + timedelta(days=1)
+    pages = [("BTC", T0, "9", 50), ("BTC", T0 - MINUTE, "9", 0), ("BTC", T0 + MINUTE, "9", 1)]
+    lake.write_lake(data.raw_klines(spark, pages), root, "Klines", later)
+    for _ in range(2):
+        load.load_klines(spark, root, later, db)
+        after = {(r.symbol, r.opentime): r for r in spark.table(f"{db}.klines").collect()}
+        assert spark.table(f"{db}.klines").count() == len(after) == 9
+        changed = [k for k in after if before.get(k) != after[k]]
+        assert sorted(k[1] for k in changed) == [T0, T0 + MINUTE]
+        assert after["BTC", T0].numberoftrades == 50
+        assert after["BTC", T0].kline_id == before["BTC", T0].kline_id == 4
+        assert after["BTC", T0 + MINUTE].kline_id == 5
+
+
 def test_a_day_without_data_changes_nothing(spark, db, tmp_path):
     root = str(tmp_path)
     load.run_day(spark, root, T0, "BTC", db, f"{db}_reports")
