@@ -78,6 +78,7 @@ TICKER_COLUMNS = (
 WINDOW = "BETWEEN TIMESTAMP '2024-01-14 12:00:00' AND TIMESTAMP '2024-01-15 12:00:00'"
 MIDNIGHT = "TIMESTAMP '2024-01-15 00:00:00'"
 DAY = ticker("2024-01-14 12:00:00", "2024-01-15 12:00:00")
+DAY_BEFORE = ticker("2024-01-13 12:00:00", "2024-01-14 12:00:00")
 FIRST_DAY = ticker("2023-12-31 23:59:59", "2024-01-01 23:59:59")
 
 VERSIONS = """loads AS (
@@ -333,6 +334,27 @@ def _oracle() -> dict[str, str]:
         "stream_distinct_trades": f"""WITH {t} SELECT symbol, trade_id, {_r('price', 'price')},
             trade_time FROM t""",
         "stream_klines": f"""WITH {t}, {KLINES} SELECT {KLINE_COLUMNS} FROM k""",
+        "job_trades": f"""WITH {t} SELECT symbol, trade_id, {_r('price', 'price')}, {_r('qty', 'qty')},
+            trade_time, CAST(CAST(trade_time AS DATE) AS VARCHAR) AS trade_date FROM t""",
+        "job_klines": f"""WITH {t}, {KLINES} SELECT symbol, opentime, {_r('c', 'closePrice')},
+            n AS numberoftrades,
+            row_number() OVER (PARTITION BY symbol ORDER BY opentime) AS kline_id FROM k""",
+        "job_ticker": f"""WITH {t}, one AS (WITH {DAY_BEFORE} SELECT * FROM w),
+            two AS (WITH {DAY} SELECT * FROM w), stored AS (FROM one UNION ALL FROM two)
+            SELECT symbol, close_time AS "closeTime", {_r('c', 'lastPrice')},
+            first_id AS "firstTradeId", last_id AS "lastTradeId", n AS "count",
+            row_number() OVER (PARTITION BY symbol ORDER BY close_time) AS ticker_id FROM stored""",
+        "job_reports": f"""WITH {t}, {KLINES}
+            SELECT 'symbol' AS kind, symbol AS key, count(*) AS n FROM t
+            WHERE trade_time {WINDOW} GROUP BY symbol
+            UNION ALL SELECT 'day', CAST(CAST(trade_time AS DATE) AS VARCHAR), count(*) FROM t
+            WHERE trade_time < TIMESTAMP '2024-01-16 00:00:00' GROUP BY 2
+            UNION ALL SELECT 'total', 'all', count(*) FROM t
+            WHERE trade_time <= TIMESTAMP '2024-01-15 12:00:00'
+            UNION ALL SELECT 'trades', 'click', count(*) FROM t
+            WHERE symbol = 'click' AND trade_time {WINDOW}
+            UNION ALL SELECT 'klines', 'click', count(*) FROM k
+            WHERE symbol = 'click' AND opentime {WINDOW}""",
     }
     for key, kind in FILTER_KEYS.items():
         out[key] = f"WITH {VERSIONS} " + " UNION ALL ".join(FILTERS[kind])

@@ -6,8 +6,9 @@ decimals as doubles, times without zone, dates as text.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,10 +17,10 @@ from pyspark.sql import types as T
 from .functions import times
 from .functions.values import count_rejects
 from .operators import clean, derive, filters, incremental, keys
-from .plans import reports
+from .plans import load, reports
 from .schemas import FILTER_TYPES, PRICE
 from .session import folder_exists, scratch_path, use_utc
-from .sources import lake, landing, tables
+from .sources import lake, landing, tables, warehouse
 from .sources.tables import AS_OF
 from .streaming import trades as stream
 
@@ -540,3 +541,91 @@ def stream_klines(spark, sf):
     state = scratch_path(spark, "state")
     stream.load_new_klines(spark, trades, path, state, files_per_batch=40).awaitTermination()
     return spark.read.parquet(path).drop("kline_date")
+
+
+# -- jobs ---------------------------------------------------------------------
+
+# What arrives on the second day overlaps the first; the first is loaded once more at the end.
+ARRIVALS = (date(2024, 1, 14), date(2024, 1, 15))
+LOADS = (*ARRIVALS, ARRIVALS[0])
+
+
+def _job_database(spark: SparkSession) -> str:
+    """A fresh database below the scratch folder."""
+    name = f"jobs_{uuid.uuid4().hex}"
+    warehouse.create_database(spark, name, scratch_path(spark, "jobs"))
+    return name
+
+
+def _load_job(spark, name: str, arrivals, job, database: str | None = None) -> str:
+    """Arrivals of two days in the lake, loaded into a database by a daily job."""
+    if database is None:
+        database = _job_database(spark)
+        warehouse.create_warehouse(spark, database)
+    root = scratch_path(spark, "job-lake")
+    for rows, day in zip(arrivals, ARRIVALS, strict=True):
+        lake.write_lake(rows, root, name, day)
+    for day in LOADS:
+        job(spark, root, day, database)
+    return database
+
+
+def _job_trades(spark, sf, database=None) -> str:
+    raw = tables.raw_trades(spark, sf)
+    before = F.col("time") < times.time_to_epoch_ms(times.utc_literal(MIDNIGHT))
+    since = F.col("time") >= times.time_to_epoch_ms(times.utc_literal(MIDNIGHT - timedelta(days=5)))
+    return _load_job(spark, "Trades", (raw.where(before), raw.where(since)), load.load_trades, database)
+
+
+def _job_klines(spark, sf, database=None) -> str:
+    """On the first day, candles of even minutes lack a trade."""
+    raw = tables.raw_klines(spark, sf)
+    lacking = 1 - F.minute(F.timestamp_millis("_1")) % 2
+    before = F.col("_1") < times.time_to_epoch_ms(times.utc_literal(MIDNIGHT))
+    first = raw.where(before).withColumn("_9", F.col("_9") - lacking)
+    return _load_job(spark, "Klines", (first, raw), load.load_klines, database)
+
+
+@query
+def job_trades(spark, sf):
+    stored = spark.table(f"{_job_trades(spark, sf)}.trades")
+    return stored.select("symbol", "trade_id", "price", "qty", "trade_time", "trade_date")
+
+
+@query
+def job_klines(spark, sf):
+    stored = spark.table(f"{_job_klines(spark, sf)}.klines")
+    return stored.select("symbol", "opentime", "closePrice", "numberoftrades", "kline_id")
+
+
+@query
+def job_ticker(spark, sf):
+    arrivals = [
+        tables.raw_tickers(spark, sf, as_of, "event_type") for as_of in (AS_OF - timedelta(days=1), AS_OF)
+    ]
+    stored = spark.table(f"{_load_job(spark, 'Ticker_24h', arrivals, load.load_ticker)}.ticker_24h")
+    return stored.select("symbol", "closeTime", "lastPrice", "firstTradeId", "lastTradeId", "count", "ticker_id")
+
+
+@query
+def job_reports(spark, sf):
+    """All report tables after two runs of one day at different hours."""
+    database = _job_klines(spark, sf, _job_trades(spark, sf))
+    made = _job_database(spark)
+    for as_of in (AS_OF - timedelta(hours=2), AS_OF):
+        load.refresh_reports(spark, as_of, SYMBOL, database, made)
+
+    def part(kind: str, table: str, key, n):
+        return spark.table(f"{made}.{table}").select(F.lit(kind).alias("kind"), key.alias("key"), n.alias("n"))
+
+    def rows_of(table: str):
+        rows = spark.table(f"{made}.`{SYMBOL}_{table}`").agg(F.count("*").alias("n"))
+        return rows.select(F.lit(table).alias("kind"), F.lit(SYMBOL).alias("key"), "n")
+
+    return (
+        part("symbol", "number_of_trades_symbols", F.col("symbol"), F.col("NumberOfTrades"))
+        .unionByName(part("day", "daily_trade_ledger", F.col("day").cast("string"), F.col("NumberOfTrades")))
+        .unionByName(part("total", "total_trades", F.lit("all"), F.col("TotalTrades")))
+        .unionByName(rows_of("trades"))
+        .unionByName(rows_of("klines"))
+    )

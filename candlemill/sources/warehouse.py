@@ -13,8 +13,10 @@ WAREHOUSE_DATABASE = "market_data"
 OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
 
 
-def create_database(spark: SparkSession, database: str) -> None:
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
+def create_database(spark: SparkSession, database: str, folder: str | None = None) -> None:
+    """A database in the warehouse, or in a folder of its own."""
+    place = f" LOCATION '{folder}'" if folder else ""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`{place}")
 
 
 def use_database(spark: SparkSession, database: str) -> None:
