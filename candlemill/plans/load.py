@@ -33,9 +33,9 @@ def land_tickers(
 
     Returns the pages of trade ids and the pages of candle times.
     """
-    tickers = landing.read_landing(spark, landing_root, "Ticker_24h")
+    tickers = landing.read_landing(spark, landing_root, "Ticker_24h", day)
     resumed = pin(incremental.resume_tickers(tickers, trade_watermarks(spark, database)))
-    lake.write_lake(resumed.select(*tickers.columns), lake_root, "Ticker_24h", day)
+    lake.write_lake(resumed.select(*tickers.columns), lake_root, "Ticker_24h", day, replace=True)
     return incremental.trade_fetch_plan(resumed), incremental.kline_fetch_plan(resumed)
 
 
@@ -46,10 +46,10 @@ def land_to_lake(
     day: date,
     tables: tuple[str, ...] = ("SymbolInfor", "Trades", "Klines"),
 ) -> None:
-    """Append the landed responses of a day to the lake."""
+    """The responses landed on a day, in the place of what the lake has for that day."""
     for table in tables:
-        rows = landing.read_landing(spark, landing_root, table)
-        lake.write_lake(rows, lake_root, table, day)
+        rows = landing.read_landing(spark, landing_root, table, day)
+        lake.write_lake(rows, lake_root, table, day, replace=True)
 
 
 def load_warehouse(

@@ -56,18 +56,23 @@ def lake_slice(lake: DataFrame, symbol: str, day: date) -> DataFrame:
     )
 
 
-def write_lake(df: DataFrame, root: str, table: str, day: date | Column) -> None:
+def write_lake(
+    df: DataFrame, root: str, table: str, day: date | Column, replace: bool = False
+) -> None:
     """Append raw rows to the lake under a day, or under a date column.
 
-    Rebalancing by partition keeps files few and lets Spark split a symbol that
-    holds a large share of the rows.
+    With ``replace`` the rows take the place of what is stored for the same
+    symbols and days, so the write can be repeated. Rebalancing by partition
+    keeps files few and lets Spark split a symbol that holds a large share of
+    the rows.
     """
     when = day if isinstance(day, Column) else F.lit(day)
     (
         df.withColumns(lake_date_parts(when))
         .hint("rebalance", *PARTITIONS)
         .write.partitionBy(*PARTITIONS)
-        .mode("append")
+        .option("partitionOverwriteMode", "dynamic")
+        .mode("overwrite" if replace else "append")
         .parquet(f"{root}/{table}")
     )
 

@@ -1,11 +1,13 @@
 """Exchange responses kept as JSON files, read with declared schemas.
 
-Files lie under ``{root}/{table}/symbol=S/``. A line is one record or one page
+Files lie under ``{root}/{table}/day=YYYY-MM-DD/symbol=S/``. A line is one record or one page
 (a JSON array of records; a candle record is itself an array).
 """
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -45,9 +47,9 @@ def _struct_fields(table: str) -> str:
     return ", ".join(f"{f.name}: {f.dataType.simpleString()}" for f in schema)
 
 
-def read_landing(spark: SparkSession, root: str, table: str) -> DataFrame:
-    """All landed records of a table, with their symbol from the path."""
-    path = f"{root}/{table}"
+def read_landing(spark: SparkSession, root: str, table: str, day: date) -> DataFrame:
+    """The records of a table landed on a day, with their symbol from the path."""
+    path = f"{root}/{table}/day={day}"
     if table == "Klines":
         pages = spark.read.schema("value string, symbol string").text(path)
         return pages.select(

@@ -15,10 +15,10 @@ def test_land_load_report_stream(spark, tmp_path):
     db = f"j{uuid.uuid4().hex[:8]}"
     landed = tmp_path / "landing"
     for table in ("SymbolInfor", "Trades", "Klines", "Ticker_24h"):
-        (landed / table / "symbol=BTC").mkdir(parents=True)
+        (landed / table / f"day={T0.date()}/symbol=BTC").mkdir(parents=True)
 
     def land(table, value):
-        (landed / table / "symbol=BTC/r.json").write_text(json.dumps(value))
+        (landed / table / f"day={T0.date()}/symbol=BTC/r.json").write_text(json.dumps(value))
 
     land("SymbolInfor", {"status": "TRADING", "filters": [{"filterType": "ICEBERG_PARTS", "limit": 10}]})
     land("Trades", [{"id": i, "price": "2", "qty": "1", "quoteQty": "2", "time": data.ms(T0) - i,

@@ -76,37 +76,37 @@ def test_records_that_carry_their_symbol_too(spark, tmp_path):
     raw.withColumn("lastQty", F.lit("1")).write.parquet(str(folder))
     got = lake.read_lake_day(spark, str(tmp_path / "lake"), "Ticker_24h", DAY)
     assert data.rows(got.select(*raw.columns)) == data.rows(raw)
-    landed = tmp_path / "landing/Ticker_24h/symbol=A"
+    landed = tmp_path / f"landing/Ticker_24h/day={DAY}/symbol=A"
     landed.mkdir(parents=True)
     (landed / "t.json").write_text(json.dumps({"symbol": "A", "firstId": 1, "lastPrice": "2"}))
-    (row,) = landing.read_landing(spark, str(tmp_path / "landing"), "Ticker_24h").collect()
+    (row,) = landing.read_landing(spark, str(tmp_path / "landing"), "Ticker_24h", DAY).collect()
     assert (row.symbol, row.firstId, row.lastPrice) == ("A", 1, "2")
 
 
 def test_landed_records_and_pages(spark, tmp_path):
     one = {"id": 1, "price": "2.50", "qty": "1", "quoteQty": "2.5", "time": data.ms(T0),
            "isBuyerMaker": True, "isBestMatch": True, "unused": 5}
-    trades = tmp_path / "Trades/symbol=A"
+    trades = tmp_path / f"Trades/day={DAY}/symbol=A"
     trades.mkdir(parents=True)
     (trades / "page.json").write_text(json.dumps([one, {**one, "id": 2}]) + "\n" + json.dumps({**one, "id": 3}))
-    got = landing.read_landing(spark, str(tmp_path), "Trades")
+    got = landing.read_landing(spark, str(tmp_path), "Trades", DAY)
     assert data.rows(got.select("symbol", "id", "price")) == [("A", i, "2.50") for i in (1, 2, 3)]
 
-    klines = tmp_path / "Klines/symbol=A"
+    klines = tmp_path / f"Klines/day={DAY}/symbol=A"
     klines.mkdir(parents=True)
     candle = [data.ms(T0), "1", "2", "0.5", "1.5", "10", data.ms(T0) + 59_999, "15", 4, "3", "4", "0"]
     (klines / "page.json").write_text(json.dumps([candle, candle]))
-    got = landing.read_landing(spark, str(tmp_path), "Klines").collect()
+    got = landing.read_landing(spark, str(tmp_path), "Klines", DAY).collect()
     assert len(got) == 2
     assert (got[0]._1, got[0]._3, got[0]._9, got[0].symbol) == (data.ms(T0), "2", 4, "A")
 
 
 def test_filters_of_mixed_types_become_text(spark, tmp_path):
-    folder = tmp_path / "SymbolInfor/symbol=A"
+    folder = tmp_path / f"SymbolInfor/day={DAY}/symbol=A"
     folder.mkdir(parents=True)
     rule = {"filterType": "ICEBERG_PARTS", "limit": 10, "on": True, "step": "0.10"}
     (folder / "r.json").write_text(json.dumps({"status": "TRADING", "filters": [rule]}))
-    (row,) = landing.read_landing(spark, str(tmp_path), "SymbolInfor").collect()
+    (row,) = landing.read_landing(spark, str(tmp_path), "SymbolInfor", DAY).collect()
     assert row.filters == [
         {"filterType": "ICEBERG_PARTS", "limit": "10", "on": "true", "step": "0.10"}
     ]

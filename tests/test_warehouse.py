@@ -154,16 +154,21 @@ def test_a_run_that_broke_off_can_be_repeated(spark, db, tmp_path, monkeypatch):
 
 
 def test_landing_to_lake(spark, tmp_path):
-    folder = tmp_path / "landing/Trades/symbol=BTC"
-    folder.mkdir(parents=True)
     one = {"id": 1, "price": "2", "qty": "1", "quoteQty": "2", "time": data.ms(T0)}
-    (folder / "p.json").write_text(json.dumps([one, {**one, "id": 2}]))
-    load.land_to_lake(spark, str(tmp_path / "landing"), str(tmp_path / "lake"), DAY, ("Trades",))
-    assert lake.read_lake_day(spark, str(tmp_path / "lake"), "Trades", DAY, "BTC").count() == 2
+    later = DAY + timedelta(days=1)
+    for day, records in ((DAY, [one, {**one, "id": 2}]), (later, [{**one, "id": 3}])):
+        folder = tmp_path / f"landing/Trades/day={day}/symbol=BTC"
+        folder.mkdir(parents=True)
+        (folder / "p.json").write_text(json.dumps(records))
+    for day in (DAY, DAY, later, DAY):
+        load.land_to_lake(spark, str(tmp_path / "landing"), str(tmp_path / "lake"), day, ("Trades",))
+    for day, ids in ((DAY, [(1,), (2,)]), (later, [(3,)])):
+        rows = lake.read_lake_day(spark, str(tmp_path / "lake"), "Trades", day, "BTC")
+        assert data.rows(rows.select("id")) == ids
 
 
 def test_tickers_resume_and_give_the_fetch_plan(spark, db, tmp_path):
-    root, landed = str(tmp_path / "lake"), tmp_path / "landing/Ticker_24h"
+    root, landed = str(tmp_path / "lake"), tmp_path / "landing/Ticker_24h/day=2024-01-16"
     fill_lake(spark, root)
     warehouse.create_warehouse(spark, db)
     load.load_trades(spark, root, DAY, db)
@@ -174,7 +179,8 @@ def test_tickers_resume_and_give_the_fetch_plan(spark, db, tmp_path):
     for symbol in ("BTC", "NEW"):
         (landed / f"symbol={symbol}").mkdir(parents=True)
         (landed / f"symbol={symbol}/t.json").write_text(json.dumps(ticker))
-    pages, spans = load.land_tickers(spark, str(tmp_path / "landing"), root, date(2024, 1, 16), db)
+    for _ in range(2):
+        pages, spans = load.land_tickers(spark, str(tmp_path / "landing"), root, date(2024, 1, 16), db)
     assert sorted(data.rows(pages)) == [
         ("BTC", 9, 1008), ("BTC", 1009, 2008), ("BTC", 2009, 2500),
         ("NEW", 1, 1000), ("NEW", 1001, 2000), ("NEW", 2001, 2500),
