@@ -109,6 +109,17 @@ def contexts(text: str, spans: list[tuple[int, int, int]]):
             yield entity(text, span), xxhash.xxh3_64_intdigest(" ".join(words)), sorted(set(words))
 
 
+def text_key():
+    """A hash of the text that stands for it in joins; a null text has that of an empty one."""
+    return F.unhex(F.md5(F.coalesce("text", F.lit(""))))
+
+
+def text_words(keyed: DataFrame) -> DataFrame:
+    """Rows (key, term): the words of each text."""
+    words = F.regexp_extract_all(F.lower("text"), F.lit(r"([\p{L}\p{N}_]+)"), 1)
+    return keyed.select("key", F.explode(F.array_distinct(words)).alias("term"))
+
+
 def disclosing_terms(docs: DataFrame, support: int = SUPPORT, threshold: float = GENERALISE) -> DataFrame:
     """Rows (term, entity, share): terms that disclose an entity, over all documents.
 
@@ -146,11 +157,11 @@ def disclosing_terms(docs: DataFrame, support: int = SUPPORT, threshold: float =
     if likely.isEmpty():
         return likely.select("term", "entity", F.lit(0.0).alias("share")).limit(0)
     of_entity = found.groupBy("entity").agg(F.count("*").alias("n_e"))
-    texts = docs.select("text").where(F.length("text") > 0).distinct()
-    n = texts.count()
-    wanted = likely.select("term").distinct()
-    words = texts.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"([\p{L}\p{N}_]+)"), 1))).alias("term"))
-    of_term = words.join(wanted, "term").groupBy("term").agg(F.count("*").alias("n_t"))
+    keyed = docs.select(text_key().alias("key"), "text").where(F.length("text") > 0)
+    n = keyed.select("key").distinct().count()
+    # Different texts are counted by their keys; the texts themselves don't leave their tasks.
+    seen = text_words(keyed).join(likely.select("term").distinct(), "term").distinct()
+    of_term = seen.groupBy("term").agg(F.count("*").alias("n_t"))
     own = F.greatest("n_e", "n_te")
     total = F.greatest(F.lit(float(n)), own + 1, F.col("n_t").cast("double"))
     share = F.log(F.col("n_te") * total / (own * F.greatest("n_t", "n_te"))) / F.log(total / own)
@@ -182,14 +193,11 @@ def sanitise(
     if risky.isEmpty():
         held = rows.withColumn("terms", F.expr("cast(null as map<string,double>)"))
     else:
-        key = F.unhex(F.md5(F.coalesce("text", F.lit(""))))
-        keyed = rows.withColumn("key", key)
-        words = keyed.where(F.length("text") > 0).select("key", "text").distinct().select(
-            "key", F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"([\p{L}\p{N}_]+)"), 1))).alias("term")
-        )
-        own = words.join(risky, "term").groupBy("key").agg(
-            F.map_from_entries(F.collect_list(F.struct("term", "share"))).alias("terms")
-        )
+        keyed = rows.withColumn("key", text_key())
+        found = text_words(keyed.where(F.length("text") > 0)).join(risky, "term").distinct()
+        own = found.groupBy("key").agg(F.map_from_entries(F.collect_list(F.struct("term", "share"))).alias("terms"))
+        # Pinned, so that Spark knows its size before it chooses how to join the texts.
+        own = pin(own)
         held = keyed.join(own, "key", "left").select("doc_id", "text", *carry, "terms")
 
     def work():
