@@ -13,6 +13,9 @@ from __future__ import annotations
 
 import hashlib
 import re
+from array import array
+from bisect import bisect_left
+from collections.abc import Iterator
 
 import pyarrow as pa
 import xxhash
@@ -38,7 +41,8 @@ _IP = re.compile(r"(?<![0-9])[0-9]+(?:\.[0-9]+){3}")
 _CARD = re.compile(r"(?<![0-9])[0-9](?:[ -]?[0-9]){13,}")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _LOCAL_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
-_WORD = re.compile(r"[^\W\d_]\w+")
+#: A word begins with a letter and ends before closing underscores, or is a run of digits; so ``_Anna_`` and ``3anna`` hold ``anna``.
+_WORD = re.compile(r"[^\W\d_]\w*[^\W_]|\d{2,}")
 
 
 def luhn(digits: str) -> bool:
@@ -92,19 +96,31 @@ def entity(text: str, span: tuple[int, int, int]) -> str:
     return KINDS[kind] + ":" + (raw if kind < 2 else "".join(c for c in raw if c.isdigit()))
 
 
+def words_outside(text: str, spans: list[tuple[int, int, int]]) -> Iterator[re.Match]:
+    """Matches of the words that don't touch a value, in order."""
+    k, reach = 0, -1
+    for m in _WORD.finditer(text):
+        while k < len(spans) and spans[k][0] < m.end():
+            reach = max(reach, spans[k][2])
+            k += 1
+        if m.start() >= reach:
+            yield m
+
+
 def contexts(text: str, spans: list[tuple[int, int, int]]):
     """(entity, hash of the context, its distinct terms) around each value.
 
-    A term is a word of two letters or more outside all values.
+    The context are the CONTEXT_WORDS nearest words outside all values on each
+    side, however far away. A term is a word of two characters or more.
     """
-    taken = [(a, b) for a, _, b in spans]
+    # Places only: a text may be long.
+    starts, ends = array("q"), array("q")
+    for m in words_outside(text, spans):
+        starts.append(m.start()), ends.append(m.end())
     for span in spans:
-        start, _, end = span
-        # Characters that surely hold the words of a usual context; words are cut at its ends, so drop those.
-        left, right = max(0, start - 40 * CONTEXT_WORDS), min(len(text), end + 40 * CONTEXT_WORDS)
-        before = [m for m in _WORD.finditer(text, left, start) if m.start() > left or left == 0][-CONTEXT_WORDS:]
-        after = [m for m in _WORD.finditer(text, end, right) if m.end() < right or right == len(text)][:CONTEXT_WORDS]
-        words = [m.group().lower() for m in [*before, *after] if not any(a < m.end() and m.start() < b for a, b in taken)]
+        k = bisect_left(starts, span[0])
+        near = range(max(0, k - CONTEXT_WORDS), min(len(starts), k + CONTEXT_WORDS))
+        words = [text[starts[j] : ends[j]].lower() for j in near]
         if words:
             yield entity(text, span), xxhash.xxh3_64_intdigest(" ".join(words)), sorted(set(words))
 
@@ -115,9 +131,16 @@ def text_key():
 
 
 def text_words(keyed: DataFrame) -> DataFrame:
-    """Rows (key, term): the words of each text."""
-    words = F.regexp_extract_all(F.lower("text"), F.lit(r"([\p{L}\p{N}_]+)"), 1)
-    return keyed.select("key", F.explode(F.array_distinct(words)).alias("term"))
+    """Rows (key, term): the words of each text, values or not."""
+
+    def work():
+        def handle(batch):
+            found = [sorted({w.lower() for w in _WORD.findall(t or "")}) for t in batch.column("text").to_pylist()]
+            return {"key": batch.column("key"), "terms": pa.array(found, pa.list_(pa.string()))}
+
+        return handle
+
+    return map_text(keyed, ["key", "text"], work, "key binary, terms array<string>").select("key", F.explode("terms").alias("term"))
 
 
 def disclosing_terms(docs: DataFrame, support: int = SUPPORT, threshold: float = GENERALISE) -> DataFrame:
@@ -214,9 +237,9 @@ def sanitise(
                 extra = []
                 if own and text:
                     shares = dict(own)
-                    for m in _WORD.finditer(text):
+                    for m in words_outside(text, found):
                         share = shares.get(m.group().lower())
-                        if share is not None and not any(a < m.end() and m.start() < b for a, b, _ in cuts[: len(found)]):
+                        if share is not None:
                             extra.append((m.start(), len(KINDS), m.end()))
                             cuts.append((m.start(), m.end(), "" if share >= remove else ("[NAME]" if m.group()[0].isupper() else "[WORD]")))
                 spans = ",".join(f"{(*KINDS, TERM)[k]}:{a}:{b}" for a, k, b in sorted([*found, *extra]))

@@ -60,6 +60,19 @@ def test_terms_of_one_person_go(spark):
     assert sanitise(frame.limit(0)).count() == 0
 
 
+def test_terms_go_whatever_stands_around_them(spark):
+    far = [f"{'.' * 700} report {k} by _Zanzibor_ of 3quibble room 4711 {' ' * 900} bob@mail.com {'.' * 700} w{k} {'-' * 400}" for k in range(12)]
+    plain = [f"plain text {k} says room 12 and report by of" for k in range(60)]
+    lone = ["_Zanzibor was here", "see 3quibble_", "call 4711."]
+    frame = docs(spark, [*enumerate(far), *((100 + k, t) for k, t in enumerate(plain)), *((200 + k, t) for k, t in enumerate(lone))])
+    risky = {r.term for r in disclosing_terms(frame, threshold=0.5).collect()}
+    assert {"zanzibor", "quibble", "4711"} <= risky and not risky & {"report", "room", "by", "of"}
+    got = {r.doc_id: r for r in sanitise(frame, generalise=0.5, remove=2).collect()}
+    assert [got[200 + k].text for k in range(3)] == ["_[NAME] was here", "see 3[WORD]_", "call [WORD]."]
+    assert [got[200 + k].spans for k in range(3)] == ["term:1:9", "term:5:12", "term:5:9"]
+    assert all("anzibor" not in got[k].text and "quibble" not in got[k].text and "4711" not in got[k].text for k in range(12))
+
+
 def test_wand_equals_exhaustive_scores():
     rng = random.Random(2)
     index = Index([(k, words(rng, rng.randrange(1, 50), 120) + ". " + words(rng, 4, 120)) for k in range(70)] + [(99, ""), (98, None)])
