@@ -15,7 +15,7 @@ from candlemill.llm.ngram_jaccard import jaccard_classes
 from candlemill.llm.packing import pack
 from candlemill.llm.pii import sanitise
 from candlemill.llm.toxicity import without_toxic
-from candlemill.session import scratch_path
+from candlemill.session import pin, scratch_path
 
 #: Near copies share at least this percentage of their five-word shingles.
 SHINGLE_WORDS = 5
@@ -28,17 +28,28 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_copies_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of the least id of each group of near copies.
+    """One document of each group of near copies: that of the least id, a null id after all others.
 
-    Documents without words are no copies of each other. Rows of one id are one
-    document; a null id has no group and stays.
+    Every (doc_id, text) is a document of its own, also where ids repeat or are
+    null. Documents without words are no copies of each other; all their rows
+    stay.
     """
-    classes = jaccard_classes(docs, SHINGLE_WORDS, SIMILAR_PERCENT)
-    heads = classes.where("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("rows"))
-    kept = docs.join(heads.select("doc_id"), "doc_id", "left_semi").select(docs.columns)
-    if not heads.where("rows > 1").isEmpty():
-        kept = kept.dropDuplicates(["doc_id"])
-    return kept.unionByName(docs.where("doc_id is null"))
+    keyed = docs.withColumn("row_key", F.xxhash64("doc_id", "text"))
+    classes = jaccard_classes(keyed.select(F.col("row_key").alias("doc_id"), "text"), SHINGLE_WORDS, SIMILAR_PERCENT)
+    members = classes.groupBy(F.col("doc_id").alias("row_key")).agg(
+        F.first("component_id").alias("component_id"), F.max("n_shingles").alias("n_shingles"), F.count("*").alias("rows")
+    )
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "row_key")
+    heads = members.join(keyed.select("row_key", "doc_id").distinct(), "row_key").groupBy("component_id").agg(
+        F.min_by(F.struct("row_key", "n_shingles", "rows"), order).alias("head")
+    )
+    kept = pin(heads.select("head.*"))
+    repeated = kept.where("rows > 1 and n_shingles > 0")
+    if repeated.isEmpty():
+        return keyed.join(kept.select("row_key"), "row_key", "left_semi").select(docs.columns)
+    once = keyed.join(kept.where("rows = 1 or n_shingles = 0").select("row_key"), "row_key", "left_semi")
+    first = keyed.join(repeated.select("row_key"), "row_key", "left_semi").dropDuplicates(["doc_id", "text"])
+    return once.unionByName(first).select(docs.columns)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

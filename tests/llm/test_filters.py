@@ -142,6 +142,20 @@ def test_languages(spark):
     assert {r.lang_pred for r in language(frame.where("lang is null")).collect()} == {"und"}
 
 
+def test_near_copies_are_told_by_row(spark):
+    rng = random.Random(11)
+    a, b, c, d, e, f = (words(rng, 60, 5000) for _ in range(6))
+    rows = [(7, a), (7, b), (7, b), (3, c), (5, c), (5, d), (None, e), (None, e), (None, c), (None, e + " more"), (-2, f), (None, f)]
+    rows += [(8, None), (8, ""), (None, None), (None, " "), (8, "")]
+    got = corpus_pipeline.near_copies_stage(spark, docs(spark, rows), "")
+    assert got.columns == docs(spark, rows).columns
+    found = sorted(((r.doc_id, r.text) for r in got.collect()), key=repr)
+    either = [x for x in found if x[1] in (e, e + " more")]
+    assert len(either) == 1 and either[0][0] is None
+    want = [(7, a), (7, b), (3, c), (5, d), (-2, f), *either, *rows[-5:]]
+    assert found == sorted(want, key=repr)
+
+
 def test_every_stage_on_awkward_rows(spark, tmp_path):
     rows, marks = labelled(120)
     rng = random.Random(1)
