@@ -100,9 +100,9 @@ def held_out(column: str, parts: int, part: int):
     return F.crc32(F.col(column).cast("string")) % F.lit(parts) == F.lit(part)
 
 
-def hashed_fraction(column: str, fraction):
-    """Choose about ``fraction`` of the rows by a hash of ``column``, the same rows each time."""
-    return (F.pmod(F.xxhash64(F.col(column), F.lit("sample")), F.lit(1 << 30)) / F.lit(float(1 << 30))) < fraction
+def hashed_place(columns: list[str]):
+    """A number from 0 to 1 (not included) from a hash of ``columns``, the same for each row each time."""
+    return F.pmod(F.xxhash64(*columns, F.lit("sample")), F.lit(1 << 30)) / F.lit(float(1 << 30))
 
 
 def components(edges: DataFrame) -> DataFrame:

@@ -108,8 +108,10 @@ def follow_leader(rows: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, clas
             step = (np.sqrt(n[at] + g * g) - np.sqrt(n[at])) / alpha
             z[at] += g - step * w
             n[at] += g * g
-    final = weights(np.arange(size))
-    return final[:-1], final[-1]
+    final = np.empty((size, classes), np.float32)
+    for low in range(0, size, 4096):  # with many classes the whole is large
+        final[low : low + 4096] = weights(np.arange(low, min(size, low + 4096)))
+    return final[:-1], final[-1].astype(float)
 
 
 def train(texts: list[str], langs: list[str], seed: int = 2) -> Model:
@@ -127,8 +129,7 @@ def train(texts: list[str], langs: list[str], seed: int = 2) -> Model:
     idf = np.log((1 + len(rows)) / (1 + found)) + 1
     rows = [(at, share * idf[at] * SCALE) for at, share in rows]
     fitted = np.random.default_rng(seed).random(len(rows)) < 0.8
-    if len(set(y[fitted])) < len(names):
-        fitted[:] = True
+    fitted |= ~np.isin(y, y[fitted])  # no class without a row
     first = np.flatnonzero(fitted)
     weights, bias = follow_leader([rows[k] for k in first], y[first], len(names))
     rest = np.flatnonzero(~fitted) if not fitted.all() else first
@@ -136,7 +137,8 @@ def train(texts: list[str], langs: list[str], seed: int = 2) -> Model:
     scales = np.geomspace(0.2, 5, 60)
     loss = [-np.log(np.maximum(softmax(z / t)[np.arange(len(rest)), y[rest]], 1e-12)).mean() for t in scales]
     model.temperature = float(scales[int(np.argmin(loss))])
-    model.weights = (weights * (idf * SCALE)[:, None]).astype(np.float32)
+    weights *= (idf * SCALE)[:, None]
+    model.weights = weights
     model.bias = bias
     return model
 
@@ -144,16 +146,17 @@ def train(texts: list[str], langs: list[str], seed: int = 2) -> Model:
 def language(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """One row per row of ``docs``: (doc_id, held_out, lang_pred, score).
 
-    Learns from at most about ``sample`` rows of each non-null language that
-    are not held out and whose text has at most MAX_CHARS characters; predicts
-    from whole texts. Null texts and texts without a letter are ``und`` with
+    Learns every non-null language, from at most about ``sample`` different rows
+    of each (fewer if that is over MAX_ROWS of sampling.py in all) that are not
+    held out and whose text has a letter and at most MAX_CHARS characters;
+    predicts from whole texts. Null texts and texts without a letter are ``und`` with
     score 0, as is every text if there is nothing to learn from. A null doc_id
     isn't held out. Repeated rows are predicted alike.
     """
     usable = docs.select("doc_id", "text", "lang").where(
         F.col("text").isNotNull() & F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out("doc_id", 4, 2)
-    ).where(F.length("text") <= MAX_CHARS)
-    rows = class_sample(usable, "lang", sample).collect()
+    ).where((F.length("text") <= MAX_CHARS) & F.col("text").rlike(r"\p{L}"))
+    rows = class_sample(usable, "lang", sample, ["doc_id", "text"]).distinct().collect()
     rows.sort(key=lambda r: (r["doc_id"], r["lang"], r["text"]))
     model = train([r["text"] for r in rows], [r["lang"] for r in rows])
 

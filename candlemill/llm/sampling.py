@@ -5,23 +5,29 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from candlemill.llm.common import hashed_fraction, held_out
+from candlemill.llm.common import hashed_place, held_out
+from candlemill.session import pin
 
 #: Longest text of a sample, in characters; with the row cap it bounds the driver's memory.
 MAX_CHARS = 20_000
-#: Most classes that are learned.
-MAX_CLASSES = 200
+#: Most rows of a sample over all classes; with many classes each has fewer rows, but one at least.
+MAX_ROWS = 12_000
 
 
-def class_sample(rows: DataFrame, target: str, cap: int) -> DataFrame:
-    """About ``cap`` rows of each class of ``target``, chosen by a hash of doc_id; never the same row twice."""
-    counts = rows.groupBy(target).count().orderBy(F.desc("count"), target).limit(MAX_CLASSES).collect()
-    if not counts:
-        return rows.limit(0)
-    wanted = F.lit(0.0)
-    for value, count in ((r[target], r["count"]) for r in counts):
-        wanted = F.when(F.col(target) == F.lit(value), F.lit(min(1.0, cap / count))).otherwise(wanted)
-    return rows.where(hashed_fraction("doc_id", wanted))
+def class_sample(rows: DataFrame, target: str, cap: int, by: list[str]) -> DataFrame:
+    """About ``cap`` rows of each class of ``target`` that isn't null, chosen by a hash of the columns ``by``.
+
+    Rows that are equal in ``by`` count once. If ``cap`` rows of every class
+    were more than MAX_ROWS, each class has an equal share of MAX_ROWS; that
+    with the least hash is always taken, so no class is left out.
+    """
+    place = hashed_place(by)
+    own = rows.where(F.col(target).isNotNull()).select(target, F.xxhash64(*by).alias("row_hash"), place.alias("place")).distinct()
+    counts = pin(own.groupBy(target).agg(F.count("*").alias("class_rows"), F.min("place").alias("least_place")))
+    share = F.lit(float(max(1, min(cap, MAX_ROWS // max(1, counts.count()))))) / F.col("class_rows")
+    # One narrow row of each class.
+    marked = rows.join(F.broadcast(counts), target)
+    return marked.where((place < share) | (place == F.col("least_place"))).select(rows.columns)
 
 
 def labelled_texts(docs: DataFrame, labels: DataFrame, target: str, cap: int, parts: int = 3, part: int = 1):
@@ -36,7 +42,7 @@ def labelled_texts(docs: DataFrame, labels: DataFrame, target: str, cap: int, pa
         .agg(F.max(target).cast("int").alias("y"))
     )
     # At most about 2 * cap ids: small enough to send everywhere.
-    chosen = F.broadcast(class_sample(marked, "y", cap))
+    chosen = F.broadcast(class_sample(marked, "y", cap, ["doc_id"]))
     rows = (
         docs.select("doc_id", "text")
         .where(F.length("text") <= MAX_CHARS)

@@ -8,6 +8,7 @@ import numpy as np
 from helpers import AWKWARD, docs, words
 
 import corpus_pipeline
+from candlemill.llm import sampling
 from candlemill.llm.decontaminate import Index, leaks
 from candlemill.llm.language import language
 from candlemill.llm.pii import base_spans, disclosing_terms, luhn, sanitise
@@ -142,6 +143,28 @@ def test_languages(spark):
     assert {r.lang_pred for r in language(frame.where("lang is null")).collect()} == {"und"}
 
 
+def test_every_language_is_learned(spark):
+    rng = random.Random(12)
+    kinds = {f"l{k:03}": [chr(0x4E00 + 9 * k + j) for j in range(9)] for k in range(215)}
+    rows = [(k, "".join(rng.choice(kinds[lang]) for _ in range(30)), lang) for k, lang in enumerate(sorted(kinds) * 5)]
+    # Common languages first, so that those with fewest rows are the further ones.
+    rows += [(5000 + k, "".join(rng.choice(kinds["l000"]) for _ in range(30)), "l000") for k in range(60)]
+    got = {r.doc_id: r.lang_pred for r in language(spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)).collect()}
+    assert {got[k] for k, _, _ in rows} == set(kinds)
+    assert sum(got[k] == lang for k, _, lang in rows) > 0.95 * len(rows)
+
+
+def test_sample_of_every_class(spark, monkeypatch):
+    monkeypatch.setattr(sampling, "MAX_ROWS", 30)
+    rows = [(1, f"t{k}", "big") for k in range(400)] + [(2, "same", "copies")] * 300 + [(k, f"x{k}", f"c{k}") for k in range(20)]
+    frame = spark.createDataFrame([*rows, (None, "n", None)], "doc_id long, text string, lang string")
+    got = sampling.class_sample(frame, "lang", 10, ["doc_id", "text"]).distinct().collect()
+    assert {r.lang for r in got} == {"big", "copies", *(f"c{k}" for k in range(20))} and len(got) < 40
+    monkeypatch.setattr(sampling, "MAX_ROWS", 12_000)
+    got = sampling.class_sample(frame, "lang", 100, ["doc_id", "text"]).distinct().collect()
+    assert 60 < sum(r.lang == "big" for r in got) < 140
+
+
 def test_near_copies_are_told_by_row(spark):
     rng = random.Random(11)
     a, b, c, d, e, f = (words(rng, 60, 5000) for _ in range(6))
