@@ -47,7 +47,10 @@ class WordEncoder(dict):
         super().__init__()
         path = path or public_tokenizers.path(VOCABULARY)
         self.model = Tokenizer.from_file(path)
-        self.model.encode_special_tokens = True  # their strings in a text are ordinary text
+        #: Added tokens; texts that hold one are encoded as a whole.
+        self.added = [token.content for token in self.model.get_added_tokens_decoder().values()]
+        if any(token.normalized for token in self.model.get_added_tokens_decoder().values()):
+            raise ValueError("the vocabulary finds added tokens in another way")
         self.pattern = latin_pattern(path)
         # For pieces that are cut and in lower case already, only white space separates.
         self.merges = Tokenizer.from_file(path)
@@ -122,13 +125,18 @@ class WordEncoder(dict):
         """Ids of each text; of a null text none."""
         if len(self) > self.limit:
             self._reset()
-        places = []
-        for text in texts:
-            pieces = self.pieces(text) if text else []
+        places, whole = [], {}
+        for k, text in enumerate(texts):
+            if text and any(token in text for token in self.added):
+                whole[k] = np.array(self.model.encode(text, add_special_tokens=False).ids, self.kind)
+            pieces = self.pieces(text) if text and k not in whole else []
             places.append(np.fromiter(map(self.__getitem__, pieces), np.int64, len(pieces)))
         self._learn()
         out = []
-        for place in places:
+        for k, place in enumerate(places):
+            if k in whole:
+                out.append(whole[k])
+                continue
             length = self.length[place]
             ends = np.cumsum(length)
             total = int(ends[-1]) if len(ends) else 0

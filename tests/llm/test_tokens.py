@@ -3,12 +3,14 @@ from __future__ import annotations
 import zlib
 
 import numpy as np
+import public_tokenizers
 from helpers import AWKWARD, docs
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from tokenizers import Tokenizer
 
 from candlemill.llm.packing import configuration_plan, pack
-from candlemill.llm.tokens import WordEncoder
+from candlemill.llm.tokens import VOCABULARY, WordEncoder
 from candlemill.llm.training_order import Permutation, materialise, read_sequences
 
 ENCODER = WordEncoder()
@@ -29,6 +31,15 @@ def test_ids_are_those_of_the_whole_text(texts):
     assert [x.tolist() for x in ENCODER.encode(texts)] == [exact(t) for t in texts]
 
 
+def test_added_tokens_in_texts():
+    fresh = Tokenizer.from_file(public_tokenizers.path(VOCABULARY))
+    added = [t.content for t in fresh.get_added_tokens_decoder().values()]
+    texts = [f"{a}{t}{b}" for t in [*added, *(t.upper() for t in added)] for a in ("", "a ", "日本", "é") for b in ("", " b", "x", "\u0338", "日本")]
+    texts += [added[0] * 3, "plain", None, "", "<|endoftext", "endoftext|> x"]
+    assert [x.tolist() for x in ENCODER.encode(texts)] == [fresh.encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert fresh.token_to_id("<|endoftext|>") in ENCODER.encode(["a <|endoftext|> b"])[0]
+
+
 def test_every_piece_has_a_place(spark):
     rows = [(k, " ".join(["word", "token", "x"][: 1 + k % 3] * (k * 37 % 900))) for k in range(60)] + AWKWARD + [(3, "again")]
     got = pack(docs(spark, rows), capacity=256).collect()
