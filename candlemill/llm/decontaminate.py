@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import re
 from itertools import chain, repeat
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -20,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from candlemill.llm.common import map_text
+from candlemill.session import pin
 
 K1, B = 1.2, 0.75
 #: Score of a passage as a share of the item's own score, from which it is retrieved.
@@ -28,8 +30,9 @@ SHINGLE = 5
 QUESTION_OVERLAP = 0.8
 ANSWER_OVERLAP = 0.5
 BLOCK = 8
-#: Items in one index; a larger benchmark is searched in several.
+#: Items and bytes of text in one index, about; a larger benchmark is searched in several.
 SHARD_ITEMS = 20_000
+SHARD_BYTES = 16 << 20
 _WORD = re.compile(r"\w+")
 _SLACK = 1e-9
 #: Passages times their words times blocks that are summed at once.
@@ -52,10 +55,23 @@ def answer_start(text: str, words: list[str]) -> int:
     return len(words) - max(1, last)
 
 
+class Corpus(NamedTuple):
+    """What scores need to know of all items: those with words, their words, the longest, and the items that hold a term."""
+
+    n: int
+    n_words: int
+    longest: int
+    found: dict[str, int]
+
+
 class Index:
-    """Inverted index of test items with impacts, term bounds and block bounds."""
+    """Inverted index of test items with impacts, term bounds and block bounds.
+
+    The items are one shard of a benchmark if ``corpus`` is given; its ``found``
+    then has all terms of the shard.
+    """
 
-    def __init__(self, items: list[tuple[int, str]]):
+    def __init__(self, items: list[tuple[int, str]], corpus: Corpus | None = None):
         items = [(k, t, words_of(t)) for k, t in items]
         items = sorted((x for x in items if x[2]), key=lambda x: len(x[2]))  # like lengths share a block
         self.ids = [k for k, _, _ in items]
@@ -71,10 +87,14 @@ class Index:
             counts.append(own)
         n, size = len(items), len(self.terms) + 1
         found = np.zeros(size)
-        for own in counts:
-            found[list(own)] += 1
-        self.idf = np.log(1 + (n - found + 0.5) / (found + 0.5))
-        mean = sum(map(len, self.words)) / max(1, n)
+        if corpus:
+            found[[self.terms[w] for w in corpus.found]] = list(corpus.found.values())
+        else:
+            for own in counts:
+                found[list(own)] += 1
+            corpus = Corpus(n, sum(map(len, self.words)), max(map(len, self.words), default=1), {})
+        self.idf = np.log(1 + (corpus.n - found + 0.5) / (found + 0.5))
+        mean = corpus.n_words / max(1, corpus.n)
         postings: list[list[tuple[int, float]]] = [[] for _ in range(size)]
         for d, own in enumerate(counts):
             norm = K1 * (1 - B + B * len(self.words[d]) / mean)
@@ -97,7 +117,7 @@ class Index:
         self.term_lists = np.searchsorted(term[self.list_starts], np.arange(size + 1))
         self.bound = np.array([max((x for _, x in p), default=0.0) for p in postings])
         #: A passage has room for two of the longest item, so each item is inside one of them.
-        self.passage = 2 * max(map(len, self.words), default=1)
+        self.passage = 2 * corpus.longest
 
     def traverse(self, lists: np.ndarray, threshold: float) -> list[tuple[int, float]]:
         """Items of one block that reach the threshold, by WAND with the block's bounds."""
@@ -183,6 +203,23 @@ class Index:
         return float(covered[:at].mean()) if at else 1.0, float(covered[at:].mean())
 
 
+def item_terms(items: DataFrame) -> DataFrame:
+    """Rows (shard, n_words, terms): length and distinct terms of each item with words."""
+
+    def work():
+        def handle(batch):
+            words = [words_of(t) for t in batch.column("text").to_pylist()]
+            return {
+                "shard": batch.column("shard"),
+                "n_words": pa.array([len(w) for w in words], pa.int64()),
+                "terms": pa.array([sorted(set(w)) for w in words], pa.list_(pa.string())),
+            }
+
+        return handle
+
+    return map_text(items, ["shard", "text"], work, "shard long, n_words long, terms array<string>").where("n_words > 0")
+
+
 def leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """Rows (doc_id, item_id, score, question_overlap, answer_overlap): verified leaks.
 
@@ -190,15 +227,28 @@ def leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -
     ``threshold`` of the item's own score and whose question and answer are
     found in the text. Null and empty texts and items match nothing, repeated
     rows match alike; a null doc_id is kept as it is. Other columns are not
-    read. Items are searched in shards of at most SHARD_ITEMS, each index is
-    sent to all tasks.
+    read. Items are searched in shards of about SHARD_ITEMS or SHARD_BYTES at
+    most, each index is sent to all tasks; scores don't depend on the shards.
     """
     items = benchmark.select("item_id", "text").where("item_id is not null and text is not null").dropDuplicates()
-    shards = max(1, -(-items.count() // SHARD_ITEMS))
+    size = items.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("n_bytes")).first()
+    shards = max(1, -(-size["n"] // SHARD_ITEMS), -(-size["n_bytes"] // SHARD_BYTES))
+    if shards > 1:
+        items = pin(items.withColumn("shard", F.pmod(F.xxhash64("item_id", "text"), F.lit(shards))))
+        listed = pin(item_terms(items))
+        whole = listed.agg(F.count("*"), F.sum("n_words"), F.max("n_words")).first()
+        pairs = listed.select("shard", F.explode("terms").alias("term"))
+        found = pairs.groupBy("term").agg(F.count("*").alias("n_items"))
+        held = pin(pairs.distinct().join(found, "term"))
     out = None
     for shard in range(shards):
-        own = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(shards)) == shard)
-        index = Index(sorted((r["item_id"], r["text"]) for r in own.collect()))
+        own = items.where(f"shard = {shard}") if shards > 1 else items
+        rows = sorted((r["item_id"], r["text"]) for r in own.select("item_id", "text").collect())
+        corpus = None
+        if shards > 1:
+            terms = held.where(f"shard = {shard}").select("term", "n_items").collect()
+            corpus = Corpus(whole[0], whole[1] or 0, whole[2] or 1, {r["term"]: r["n_items"] for r in terms})
+        index = Index(rows, corpus)
 
         def work(index=index):
             def handle(batch):

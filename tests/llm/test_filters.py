@@ -8,7 +8,7 @@ import numpy as np
 from helpers import AWKWARD, docs, words
 
 import corpus_pipeline
-from candlemill.llm import sampling
+from candlemill.llm import decontaminate, sampling
 from candlemill.llm.decontaminate import Index, leaks
 from candlemill.llm.language import language
 from candlemill.llm.pii import base_spans, disclosing_terms, luhn, sanitise
@@ -87,6 +87,41 @@ def test_wand_equals_exhaustive_scores():
             assert {k for k, _ in index.retrieve(terms, threshold)} == set(np.flatnonzero(scores >= threshold - 1e-9))
 
 
+def test_block_search_equals_exhaustive_scores():
+    rng = random.Random(21)
+    index = Index([(k, words(rng, rng.randrange(1, 50), 120) + ". " + words(rng, 4, 120)) for k in range(70)] + [(99, ""), (98, None)])
+    # Shorter than a passage, so that each text is one.
+    texts = [(words(rng, 20, 120) + " " + " ".join(rng.choice(index.words)[: rng.randrange(40)])).split() for _ in range(60)]
+    for threshold in (0.05, 0.3, 0.8):
+        for text, got in zip(texts, index.search(texts, threshold), strict=True):
+            scores = np.zeros(len(index.ids))
+            for t in {index.terms[w] for w in text if w in index.terms}:
+                low, high = index.term_lists[t], index.term_lists[t + 1]
+                for k in range(low, high):
+                    part = slice(index.list_starts[k], index.list_ends[k])
+                    scores[index.docs[part]] += index.impacts[part]
+            want = {k: scores[k] for k in np.flatnonzero(scores >= threshold - 1e-9)}
+            assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-9 for k in want)
+
+
+def test_shards_score_like_one_index(spark, monkeypatch):
+    rng = random.Random(22)
+    items = [(k, words(rng, rng.randrange(5, 60), 60) + ". " + words(rng, 5, 60)) for k in range(40)] + [(50, ""), (51, "?!")]
+    rows = [(k, words(rng, 30, 60) + " " + " ".join(items[k % 40][1].split()[: 8 + k]) + " " + words(rng, 30, 60)) for k in range(80)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+
+    def found():
+        return sorted((r.doc_id, r.item_id, round(r.score, 9)) for r in leaks(docs(spark, rows), bench, 0.4).collect())
+
+    one = found()
+    assert len(one) > 20
+    monkeypatch.setattr(decontaminate, "SHARD_ITEMS", 15)
+    assert found() == one
+    monkeypatch.setattr(decontaminate, "SHARD_ITEMS", 1000)
+    monkeypatch.setattr(decontaminate, "SHARD_BYTES", 3000)
+    assert found() == one
+
+
 def test_leaks_are_found_and_others_left(spark):
     rng = random.Random(4)
     items = [(k, words(rng, 30, 5000) + ". " + words(rng, 8, 5000)) for k in range(25)] + [(50, None), (51, ""), (None, "x y z")]
