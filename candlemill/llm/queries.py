@@ -11,6 +11,7 @@ from candlemill.llm.embed_dedup import near_vectors
 from candlemill.llm.language import language
 from candlemill.llm.ngram_jaccard import jaccard_classes
 from candlemill.llm.packing import pack
+from candlemill.llm.piece_encoding import piece_digests
 from candlemill.llm.pii import sanitise
 from candlemill.llm.quality import quality
 from candlemill.llm.repeats import remove_repeats
@@ -67,11 +68,15 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language(_table(spark, sf_dir, "documents"))
 
 
+def op12_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_digests(_table(spark, sf_dir, "documents"))
+
+
 def registered() -> dict[str, Query]:
     return {
         f.__name__: f
         for f in (
             op1_ngram_jaccard, op2_toxicity, op3_training_order, op4_pii, op5_decontamination,
-            op6_quality, op7_repeated_strings, op8_embedding_dedup, op9_packing, op10_language,
+            op6_quality, op7_repeated_strings, op8_embedding_dedup, op9_packing, op10_language, op12_pieces,
         )
     }
