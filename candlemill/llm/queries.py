@@ -6,11 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from candlemill.llm.conversation_trie import conversation_trie
 from candlemill.llm.decontaminate import leaks
 from candlemill.llm.embed_dedup import near_vectors
 from candlemill.llm.language import language
 from candlemill.llm.ngram_jaccard import jaccard_classes
 from candlemill.llm.packing import pack
+from candlemill.llm.phrases import collocations
 from candlemill.llm.piece_encoding import piece_digests
 from candlemill.llm.pii import sanitise
 from candlemill.llm.quality import quality
@@ -68,15 +70,24 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language(_table(spark, sf_dir, "documents"))
 
 
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(_table(spark, sf_dir, "documents"))
+
+
 def op12_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_digests(_table(spark, sf_dir, "documents"))
 
 
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie(_table(spark, sf_dir, "conversations"))
+
+
 def registered() -> dict[str, Query]:
     return {
         f.__name__: f
         for f in (
             op1_ngram_jaccard, op2_toxicity, op3_training_order, op4_pii, op5_decontamination,
-            op6_quality, op7_repeated_strings, op8_embedding_dedup, op9_packing, op10_language, op12_pieces,
+            op6_quality, op7_repeated_strings, op8_embedding_dedup, op9_packing, op10_language,
+            op11_phrases, op12_pieces, op13_conversation_trie,
         )
     }
