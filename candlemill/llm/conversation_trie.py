@@ -93,7 +93,7 @@ def paths_of(sequences: DataFrame) -> DataFrame:
     return narrow.mapInArrow(_chained, "conv_id long, key binary, path binary, chars array<bigint>")
 
 
-def _joined_ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _joined_ids(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[pa.RecordBatch]:
     """Sorted (key, conv_id) rows as strings of many ids of a key."""
     key, ids = None, []
 
@@ -108,7 +108,7 @@ def _joined_ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     for batch in batches:
         for next_key, conv_id in zip(batch.column("key").to_pylist(), batch.column("conv_id").to_pylist(), strict=True):
-            if ids and (next_key != key or len(ids) >= IDS_AT_ONCE):
+            if ids and (next_key != key or len(ids) >= limit):
                 yield row()
                 ids = []
             key = next_key
@@ -145,8 +145,9 @@ def ends_of(members: DataFrame) -> DataFrame:
     rows is spread; what comes together again are strings of thousands of ids,
     one at a time.
     """
+    limit = IDS_AT_ONCE
     strings = members.repartitionByRange("key", "conv_id").sortWithinPartitions("key", "conv_id").mapInArrow(
-        _joined_ids, "key binary, first_id long, ids string"
+        lambda batches: _joined_ids(batches, limit), "key binary, first_id long, ids string"
     )
     return strings.repartition("key").sortWithinPartitions("key", "first_id").mapInArrow(_digests, "key binary, ends_sha256 string")
 

@@ -53,10 +53,10 @@ class Numbers(dict):
         return number
 
 
-def _numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _numbered(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[pa.RecordBatch]:
     """Slices of texts by language: the different words with their counts, and the sequence of their numbers."""
     part, n = TaskContext.get().partitionId(), 0
-    for batch in slices(batches, limit=SLICE_BYTES):
+    for batch in slices(batches, limit=limit):
         by_lang: dict[str, list[bytes | None]] = {}
         for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist(), strict=True):
             by_lang.setdefault(lang, []).append(text)
@@ -87,7 +87,8 @@ def numbered_slices(docs: DataFrame) -> DataFrame:
     """Written slices of the texts; see ``_numbered``."""
     texts = docs.select(F.coalesce("lang", F.lit(UNKNOWN)).alias("lang"), F.col("text").cast("binary").alias("text"))
     schema = "slice_id long, lang string, words array<binary>, counts array<bigint>, width int, sequence binary"
-    return pin(texts.mapInArrow(_numbered, schema))
+    limit = SLICE_BYTES
+    return pin(texts.mapInArrow(lambda batches: _numbered(batches, limit), schema))
 
 
 def word_table(sliced: DataFrame) -> DataFrame:

@@ -79,12 +79,17 @@ def test_wand_equals_exhaustive_scores():
     index = Index([(k, words(rng, rng.randrange(1, 50), 120) + ". " + words(rng, 4, 120)) for k in range(70)] + [(99, ""), (98, None)])
     for _ in range(100):
         own = rng.choice(index.words)
-        terms = np.unique([index.terms[w] for w in rng.sample(sorted(index.terms), 15) + own[: rng.randrange(len(own) + 1)]])
+        terms = {index.terms[w] for w in rng.sample(sorted(index.terms), 15) + own[: rng.randrange(len(own) + 1)]}
+        lists = np.concatenate([np.arange(index.term_lists[t], index.term_lists[t + 1]) for t in terms])
         scores = np.zeros(len(index.ids))
-        for t in terms:
-            scores[index.docs[t]] += index.impacts[t]
+        for k in lists:
+            part = slice(index.list_starts[k], index.list_ends[k])
+            scores[index.docs[part]] += index.impacts[part]
         for threshold in (0.05, 0.3, 0.8):
-            assert {k for k, _ in index.retrieve(terms, threshold)} == set(np.flatnonzero(scores >= threshold - 1e-9))
+            for block in range(index.n_blocks):
+                got = dict(index.traverse(lists[index.list_block[lists] == block], threshold))
+                want = {k for k in np.flatnonzero(scores >= threshold - 1e-9) if k // decontaminate.BLOCK == block}
+                assert set(got) == want and all(abs(got[k] - scores[k]) < 1e-9 for k in want)
 
 
 def test_block_search_equals_exhaustive_scores():
