@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.times import epoch_ms_to_time
 from ..functions.values import parse
 from ..schemas import AMOUNT, PRICE
+from ..session import pin
 
 KLINE_FIELDS = (
     "open_ms",
@@ -25,6 +26,26 @@ KLINE_FIELDS = (
 )
 
 
+PRICE_NAMES = (
+    "priceChange",
+    "priceChangePercent",
+    "weightedAvgPrice",
+    "prevClosePrice",
+    "lastPrice",
+    "bidPrice",
+    "askPrice",
+    "openPrice",
+    "highPrice",
+    "lowPrice",
+)
+AMOUNT_FIELDS = ("volume", "quoteassetvolume", "takerbaseassetvolume", "takerbuyquoteassetvolume")
+
+# Types that texts of raw rows have to fit.
+TRADE_TYPES = {"price": PRICE, "qty": AMOUNT, "quoteQty": AMOUNT}
+KLINE_TYPES = {n: PRICE for n in KLINE_FIELDS[1:5]} | {n: AMOUNT for n in AMOUNT_FIELDS}
+TICKER_TYPES = {n: PRICE for n in PRICE_NAMES} | {"volume": AMOUNT}
+
+
 def clean_trades(raw: DataFrame) -> DataFrame:
     trade_time = epoch_ms_to_time(F.col("time"))
     return raw.select(
@@ -50,7 +71,7 @@ def clean_klines(raw: DataFrame) -> DataFrame:
     price = {n: parse(F.col(n), PRICE).alias(n) for n in KLINE_FIELDS[1:5]}
     amount = {
         n: parse(F.col(n), AMOUNT).alias(n)
-        for n in ("volume", "quoteassetvolume", "takerbaseassetvolume", "takerbuyquoteassetvolume")
+        for n in AMOUNT_FIELDS
     }
     return name_kline_fields(raw).select(
         epoch_ms_to_time(F.col("open_ms")).alias("opentime"),
@@ -67,20 +88,8 @@ def clean_klines(raw: DataFrame) -> DataFrame:
 
 def clean_ticker(raw: DataFrame) -> DataFrame:
     """24-hour statistics without ``ticker_id``; the id is given on load."""
-    prices = (
-        "priceChange",
-        "priceChangePercent",
-        "weightedAvgPrice",
-        "prevClosePrice",
-        "lastPrice",
-        "bidPrice",
-        "askPrice",
-        "openPrice",
-        "highPrice",
-        "lowPrice",
-    )
     return raw.select(
-        *(parse(F.col(name), PRICE).alias(name) for name in prices),
+        *(parse(F.col(name), PRICE).alias(name) for name in PRICE_NAMES),
         parse(F.col("volume"), AMOUNT).alias("volume"),
         epoch_ms_to_time(F.col("openTime")).alias("openTime"),
         epoch_ms_to_time(F.col("closeTime")).alias("closeTime"),
@@ -111,25 +120,29 @@ SYMBOL_FIELDS = (
 )
 
 
+PRECISION_TYPES = {n: "int" for n in SYMBOL_FIELDS if n.endswith("Precision")}
+
+
 def clean_symbols(raw: DataFrame) -> DataFrame:
     """Symbol metadata, one row per distinct load, filters kept for unnesting.
 
     ``load_hash`` tells apart two different loads of one symbol on one day and
     recognises a load seen before, whatever the order of keys in its filters.
+    Rows are told apart by narrow keys; the wide ones move only if some repeat.
     """
-    typed = [
-        F.col(n).cast("int").alias(n) if n.endswith("Precision") else F.col(n)
-        for n in SYMBOL_FIELDS
-    ]
+    typed = [parse(F.col(n), PRECISION_TYPES[n]).alias(n) if n in PRECISION_TYPES else F.col(n) for n in SYMBOL_FIELDS]
     rules = F.transform("filters", lambda rule: F.array_sort(F.map_entries(rule)))
-    content = F.to_json(F.struct(*SYMBOL_FIELDS, rules.alias("filters")))
-    return (
+    rows = pin(
         raw.select(
             *typed,
             F.make_date("year", "month", "day").alias("load_date"),
-            F.xxhash64(content).alias("load_hash"),
+            F.xxhash64(*SYMBOL_FIELDS, rules).alias("load_hash"),
             "symbol",
             "filters",
+            F.monotonically_increasing_id().alias("_row"),
         )
-        .dropDuplicates(["symbol", "load_date", "load_hash"])
     )
+    first = rows.groupBy("symbol", "load_date", "load_hash").agg(F.min("_row").alias("_row"))
+    if first.count() < rows.count():
+        rows = rows.join(first.select("_row"), "_row", "left_semi")
+    return rows.drop("_row")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.values import parse
@@ -20,6 +20,17 @@ def explode_filters(versioned: DataFrame) -> DataFrame:
     ).select(*PARENT_KEYS, F.col("filter")["filterType"].alias("filterType"), "filter")
 
 
+def filter_rejects() -> dict[str, Column]:
+    """By ``TYPE.column``, the number of values that are present but don't fit."""
+    counts = {}
+    for kind, target in FILTER_TYPES.items():
+        for name, dtype in target.columns.items():
+            value = F.col("filter")[name]
+            unfit = (F.col("filterType") == kind) & value.isNotNull() & parse(value, dtype).isNull()
+            counts[f"{kind}.{name}"] = F.count_if(unfit)
+    return counts
+
+
 def filter_detail(exploded: DataFrame, filter_type: str) -> DataFrame:
     """The typed rows of one filter type; a missing key gives NULL."""
     columns = FILTER_TYPES[filter_type].columns

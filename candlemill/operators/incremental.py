@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.values import zero_if_missing
-from .keys import attach_per_symbol
+from .keys import attach_per_symbol, sequential_ids
 
 TRADES_PER_PAGE = 1000
 KLINES_PER_PAGE_MS = 12 * 60 * 60 * 1000
@@ -80,6 +81,63 @@ def trade_fetch_plan(tickers: DataFrame, step: int = TRADES_PER_PAGE) -> DataFra
     )
 
 
+def id_ranges(trades: DataFrame) -> DataFrame:
+    """Runs of trade ids without a hole: (symbol, first_id, last_id).
+
+    Ids less their place in the order are equal in a run. The places come from
+    range partitions, so no task has all ids of a symbol.
+    """
+    ids = trades.select("symbol", "trade_id").dropna().distinct()
+    placed = sequential_ids(ids, ["symbol"], ["trade_id"], "place")
+    runs = placed.groupBy("symbol", (F.col("trade_id") - F.col("place")).alias("run")).agg(
+        F.min("trade_id").alias("first_id"), F.max("trade_id").alias("last_id")
+    )
+    return runs.drop("run")
+
+
+def merged_ranges(ranges: DataFrame) -> DataFrame:
+    """Ranges that overlap or touch, as one; from one row per run, not per trade."""
+    earlier = W.partitionBy("symbol").orderBy("first_id", "last_id")
+    reach = F.max("last_id").over(earlier.rowsBetween(W.unboundedPreceding, -1))
+    new = F.when(reach.isNull() | (F.col("first_id") > reach + 1), 1).otherwise(0)
+    runs = ranges.withColumn("new", new).withColumn(
+        "run", F.sum("new").over(earlier.rowsBetween(W.unboundedPreceding, W.currentRow))
+    )
+    return (
+        runs.groupBy("symbol", "run")
+        .agg(F.min("first_id").alias("first_id"), F.max("last_id").alias("last_id"))
+        .select("symbol", "first_id", "last_id")
+    )
+
+
+def missing_ranges(tickers: DataFrame, stored: DataFrame) -> DataFrame:
+    """Ids up to each ticker's last one that no stored range has: (symbol, first_id, last_id).
+
+    They begin at the ticker's first id or at the least stored one, so pages
+    that were lost on an earlier day are among them.
+    """
+    wanted = tickers.where("firstId >= 0 and lastId >= 0").groupBy("symbol").agg(
+        F.min("firstId").alias("start"), F.max("lastId").alias("stop")
+    )
+    after = wanted.select("symbol", (F.col("stop") + 1).alias("first_id"), (F.col("stop") + 1).alias("last_id"))
+    have = merged_ranges(stored.select("symbol", "first_id", "last_id")).unionByName(after)
+    earlier = W.partitionBy("symbol").orderBy("first_id", "last_id").rowsBetween(W.unboundedPreceding, -1)
+    return (
+        have.join(wanted, "symbol")
+        .withColumn("low", F.coalesce(F.max("last_id").over(earlier) + 1, "start"))
+        .select("symbol", F.col("low").alias("first_id"), F.least(F.col("first_id") - 1, F.col("stop")).alias("last_id"))
+        .where("first_id <= last_id")
+    )
+
+
+def missing_trade_pages(tickers: DataFrame, stored: DataFrame, step: int = TRADES_PER_PAGE) -> DataFrame:
+    """Pages to fetch: exactly the missing ids, each page within one hole. Both ends are inclusive."""
+    holes = missing_ranges(tickers, stored)
+    return _page_starts(holes, "first_id", "last_id", step, "from_id").select(
+        "symbol", "from_id", F.least(F.col("from_id") + F.lit(step - 1), F.col("last_id")).alias("to_id")
+    )
+
+
 def kline_fetch_plan(tickers: DataFrame, step: int = KLINES_PER_PAGE_MS) -> DataFrame:
     """Time pages to fetch per symbol, in epoch milliseconds, both inclusive."""
     spans = tickers.select("symbol", "openTime", "closeTime")
@@ -103,16 +161,18 @@ def with_keys(batch: DataFrame, keys: list[str]) -> DataFrame:
     return batch.dropna(subset=keys)
 
 
-def new_trades(batch: DataFrame, stored: DataFrame) -> DataFrame:
+def new_trades(batch: DataFrame, stored: DataFrame, days: DataFrame | None = None) -> DataFrame:
     """Trades of the batch, once each, that are not stored yet.
 
     A trade's day never changes, so only stored days that the batch touches
-    are read, found by a semi-join on the partition column. Rows without a key,
-    such as those of broken lines, are no trades and never stored.
+    (``days``, if they are known) are read, found by a semi-join on the partition
+    column. Rows without a key, such as those of broken lines, are no trades and
+    never stored.
     """
     keys = ["symbol", "trade_date", "trade_id"]
     batch = with_keys(batch, keys)
-    days = stored.join(batch.select("trade_date").distinct(), "trade_date", "left_semi")
+    touched = batch.select("trade_date").distinct() if days is None else days
+    days = stored.join(touched, "trade_date", "left_semi")
     return batch.dropDuplicates(keys).join(days.select(*keys), keys, "left_anti")
 
 
@@ -163,6 +223,13 @@ def new_klines(batch: DataFrame, stored: DataFrame) -> DataFrame:
     return once.join(span.select(*keys), keys, "left_anti").select(*batch.columns)
 
 
-def new_rows(batch: DataFrame, stored: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows of a small batch, once per key, that are not stored yet."""
-    return with_keys(batch, keys).dropDuplicates(keys).join(stored.select(*keys), keys, "left_anti")
+def new_rows(batch: DataFrame, stored: DataFrame, keys: list[str], day: str | None = None) -> DataFrame:
+    """Rows of a small batch, once per key, that are not stored yet.
+
+    With ``day``, a key that the stored table is partitioned by, only the days of
+    the batch are read.
+    """
+    batch = with_keys(batch, keys)
+    if day:
+        stored = stored.join(batch.select(day).distinct(), day, "left_semi")
+    return batch.dropDuplicates(keys).join(stored.select(*keys), keys, "left_anti")

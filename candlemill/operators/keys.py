@@ -97,9 +97,14 @@ def sequential_ids(
 
 
 def assign_versions(loads: DataFrame, latest: DataFrame | None) -> DataFrame:
-    """Version id of every load: the symbol's latest version plus one, two, …"""
+    """Version id of every load: the symbol's latest version plus one, two, …
+
+    Only the keys are numbered; they bring the ids to the wide rows.
+    """
     order = ["load_date", "load_hash"]
-    return sequential_ids(loads, ["symbol"], order, "filterstype_id", latest)
+    names = ["symbol", *order]
+    numbered = sequential_ids(loads.select(*names), ["symbol"], order, "filterstype_id", latest)
+    return loads.join(numbered, names).select(*loads.columns, "filterstype_id")
 
 
 def extend_symbol_dim(symbols: DataFrame, dim: DataFrame) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from .queries import FILTER_KEYS
+from .schemas import FILTER_TYPES
 
 
 def _r(expression: str, alias: str) -> str:
@@ -181,6 +182,32 @@ SYMBOL_FLAGS = ", ".join(
 )
 
 
+#: Versions of the job for metadata: a changed load of the first day comes after that of the second.
+JOB_VERSIONS = VERSIONS.replace(
+    "),\nv AS (", """
+  UNION ALL
+  SELECT CAST(p_partkey AS VARCHAR), CAST(p_retailprice AS DECIMAL(12,2)),
+         p_size, p_type, p_brand, 16 FROM part WHERE p_size % 2 = 0),\nv AS ("""
+).replace("'2024-01-' || day AS load_date", "CASE day WHEN 15 THEN '2024-01-15' ELSE '2024-01-14' END AS load_date"
+).replace("CASE day WHEN 14 THEN 'TRADING' ELSE 'BREAK' END", "CASE day WHEN 14 THEN 'TRADING' WHEN 15 THEN 'BREAK' ELSE 'HALT' END")
+
+
+def _filter_values() -> str:
+    """One row per value of the nine filter types."""
+    parts = []
+    for kind, target in FILTER_TYPES.items():
+        name = target.table.removesuffix("_detail")
+        columns = list(target.columns)
+        for select in FILTERS[kind]:
+            values = ", ".join(f"""{{'name': '{c}', 'value': CAST("{c}" AS DOUBLE)}}""" for c in columns)
+            source = select.replace(f"{PARENT} FROM", f"{PARENT}, load_date FROM")
+            parts.append(
+                f"SELECT kind, symbol, filter_type_id, load_date, v.name AS name, v.value AS value FROM ("
+                f"SELECT '{name}' AS kind, symbol, filter_type_id, load_date, unnest([{values}]) AS v FROM ({source}))"
+            )
+    return f"WITH {JOB_VERSIONS} " + " UNION ALL ".join(parts)
+
+
 def _oracle() -> dict[str, str]:
     t, users = trades(), trades("user_id")
     klines = f"WITH {t}, {KLINES} SELECT {KLINE_COLUMNS} FROM k"
@@ -209,6 +236,45 @@ def _oracle() -> dict[str, str]:
         "decimal_rejects": f"""WITH {t} SELECT symbol, count(*) AS n_rows,
             count(*) FILTER (price * 100000000 >= 10000000000) AS price_rejects,
             count(*) FILTER (qty >= 10000000000) AS qty_rejects FROM t GROUP BY symbol""",
+        "landing_rejects": f"""WITH {t}, fate AS (
+            SELECT symbol, trade_id // 20 AS page, CASE
+              WHEN trade_id < 10000 THEN CASE WHEN (trade_id // 20) % 7 = 3 THEN 'cut page' ELSE 'kept' END
+              WHEN trade_id % 97 = 0 OR trade_id % 89 = 0 THEN 'broken'
+              WHEN trade_id % 83 = 0 THEN 'no key' ELSE 'kept' END AS kind, trade_id >= 10000 AS single
+            FROM t)
+            SELECT symbol, kind, count(*) AS n FROM (
+              SELECT symbol, kind FROM fate WHERE kind <> 'cut page'
+              UNION ALL SELECT DISTINCT ON (symbol, page) symbol, 'broken' FROM fate WHERE kind = 'cut page')
+            GROUP BY symbol, kind
+            UNION ALL SELECT symbol, 'lines', count(*) FILTER (single) + count(DISTINCT page) FILTER (NOT single)
+            FROM fate GROUP BY symbol
+            UNION ALL SELECT unnest(['SymbolInfor', 'Klines', 'Ticker_24h']), 'empty', 0""",
+        "trade_gap_plan": """WITH ids AS (
+              SELECT event_id AS id, event_id // 4096 AS s, event_id // 64 AS b FROM events),
+            stored AS (SELECT s, id FROM ids WHERE (b % 2 = 0 AND b % 7 <> 3) OR (b % 2 = 1 AND b % 5 <> 1)),
+            wanted AS (SELECT s, min(id) + 1000 AS first_id, max(id) AS last_id FROM ids GROUP BY s),
+            ends AS (SELECT s, id FROM stored UNION ALL SELECT s, last_id + 1 FROM wanted),
+            holes AS (
+              SELECT e.s, coalesce(lag(id) OVER (PARTITION BY e.s ORDER BY id) + 1, first_id) AS low,
+                id - 1 AS high FROM ends e JOIN wanted w ON w.s = e.s),
+            pages AS (SELECT s, high, unnest(generate_series(low, high, 50)) AS from_id FROM holes WHERE low <= high)
+            SELECT CAST(s AS VARCHAR) AS symbol, from_id, least(from_id + 49, high) AS to_id FROM pages""",
+        "job_rejects": f"""WITH {t}, r AS (
+              SELECT trade_time < {MIDNIGHT} AS early, trade_id, qty, price FROM t)
+            SELECT load_date, column_name, n_rows, n_rejects FROM (
+              SELECT CASE WHEN early THEN '2024-01-14' ELSE '2024-01-15' END AS load_date, count(*) AS n_rows,
+                count(*) FILTER (NOT early AND trade_id % 11 = 0) AS k,
+                count(*) FILTER (NOT early AND price * 100000000 >= 10000000000) AS p,
+                count(*) FILTER (NOT early AND trade_id % 5 = 0) AS q
+              FROM r GROUP BY early), LATERAL (SELECT unnest([
+                {{'column_name': '', 'n_rejects': k}}, {{'column_name': 'price', 'n_rejects': p}},
+                {{'column_name': 'qty', 'n_rejects': q}}, {{'column_name': 'quoteQty', 'n_rejects': 0}}], recursive := true))""",
+        "job_symbols": f"""WITH {JOB_VERSIONS} SELECT symbol, load_date, filter_type_id AS filterstype_id, status,
+            p_brand AS "baseAsset", p_size AS "baseAssetPrecision", p_size > 25 AS "icebergAllowed" FROM v""",
+        "job_filters": _filter_values(),
+        "filter_join": f"""WITH {JOB_VERSIONS} SELECT symbol, filter_type_id, {_r('p', 'minPrice')}, {_r('0.01', 'tickSize')},
+            {_r('q', 'minQty')}, {_r('q', 'stepSize')} FROM (
+              SELECT *, 0.001 AS q FROM v UNION ALL SELECT *, 1 FROM v WHERE p_type = 'PROMO')""",
         "trades_clean": f"WITH {t} SELECT {TYPED_TRADE} FROM t",
         "klines_clean": klines,
         "ticker_clean": f"""WITH {users}, {DAY} SELECT {TICKER_VALUES}, {_r('c', 'bidPrice')},

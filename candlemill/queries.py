@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from .functions import times
 from .functions.values import count_rejects
 from .operators import clean, derive, filters, incremental, keys
-from .plans import load, reports
+from .plans import land, load, reports
 from .schemas import FILTER_TYPES, PRICE
 from .session import folder_exists, scratch_path, use_utc
 from .sources import lake, landing, tables, warehouse
@@ -157,6 +157,56 @@ def decimal_rejects(spark, sf):
     return rejects.withColumnRenamed("rows", "n_rows")
 
 
+LANDED_DAY = date(2024, 1, 15)
+PAGE = 20
+
+
+def _land(spark: SparkSession, sf: str) -> str:
+    """Trades landed as pages and single records, some of them broken; landed twice.
+
+    Ids below 10,000 come in pages of which every seventh is cut off, the others
+    one to a line: some are cut off, some have an id that is no number or none.
+    """
+    raw = tables.raw_trades(spark, sf)
+    page = F.floor(F.col("id") / PAGE)
+    fields = [F.col(c) for c in raw.drop("symbol").columns]
+    # At most PAGE records of one symbol.
+    pages = (
+        raw.where(F.col("id") < 10_000).groupBy("symbol", page.alias("page"))
+        .agg(F.to_json(F.collect_list(F.struct(*fields))).alias("value"))
+        .select("symbol", F.when(F.col("page") % 7 == 3, F.expr("left(value, length(value) - 1)")).otherwise(F.col("value")).alias("value"))
+    )
+    text = F.to_json(F.struct(*fields))
+    value = (
+        F.when(F.col("id") % 97 == 0, F.expr("left(value, length(value) - 5)"))
+        .when(F.col("id") % 89 == 0, F.regexp_replace("value", '"id":([0-9]+)', '"id":"x$1"'))
+        .when(F.col("id") % 83 == 0, F.regexp_replace("value", '"id":[0-9]+,', ""))
+        .otherwise(F.col("value"))
+    )
+    lines = raw.where(F.col("id") >= 10_000).withColumn("value", text).select("symbol", value.alias("value"))
+    root, lake_root = scratch_path(spark, "landing"), scratch_path(spark, "landed-lake")
+    pages.unionByName(lines).write.partitionBy("symbol").text(f"{root}/Trades/day={LANDED_DAY}")
+    for _ in range(2):
+        land.land_to_lake(spark, root, lake_root, LANDED_DAY)
+    return lake_root
+
+
+@query
+def landing_rejects(spark, sf):
+    """Kept and rejected records by symbol, and the lines they came in; a table without files has none."""
+    lake_root = _land(spark, sf)
+    kept = lake.read_lake_day(spark, lake_root, "Trades", LANDED_DAY).groupBy("symbol").agg(F.count("*").alias("n"))
+    lost = land.read_rejects(spark, lake_root).groupBy("symbol", "reason").agg(F.count("*").alias("n"))
+    lines = land.read_landed(spark, lake_root).groupBy("symbol").agg(F.sum("n_lines").alias("n"))
+    report = land.landing_report(spark, lake_root, LANDED_DAY).where("status = 'empty'")
+    return (
+        kept.select("symbol", F.lit("kept").alias("kind"), "n")
+        .unionByName(lost.select("symbol", F.col("reason").alias("kind"), "n"))
+        .unionByName(lines.select("symbol", F.lit("lines").alias("kind"), "n"))
+        .unionByName(report.select(F.col("table").alias("symbol"), "status", F.col("n_lines").alias("n")).toDF("symbol", "kind", "n"))
+    )
+
+
 # -- cleaning and scalar functions --------------------------------------------
 
 
@@ -423,6 +473,28 @@ def trade_fetch_plan(spark, sf):
     return incremental.trade_fetch_plan(tickers, step=50)
 
 
+GAP_SYMBOL_IDS = 4096
+
+
+def _gap_trades(spark, sf):
+    """Trades whose symbol is a run of ids, so that only lost pages leave holes."""
+    raw = tables.raw_trades(spark, sf)
+    return raw.withColumn("symbol", F.floor(F.col("id") / GAP_SYMBOL_IDS).cast("string"))
+
+
+@query
+def trade_gap_plan(spark, sf):
+    """What to fetch after two days that each lost pages: exactly the missing ids."""
+    raw = _gap_trades(spark, sf)
+    block = F.floor(F.col("id") / 64)
+    arrivals = (raw.where((block % 2 == 0) & (block % 7 != 3)), raw.where((block % 2 == 1) & (block % 5 != 1)))
+    database = _load_job(spark, "Trades", arrivals, load.load_trades)
+    tickers = raw.groupBy("symbol").agg(F.min("id").alias("firstId"), F.max("id").alias("lastId"))
+    # The ticker of a day doesn't go back to the first ids; what is stored does.
+    tickers = tickers.withColumn("firstId", F.col("firstId") + 1000)
+    return incremental.missing_trade_pages(tickers, spark.table(f"{database}.trade_id_ranges"), step=50)
+
+
 @query
 def kline_fetch_plan(spark, sf):
     return incremental.kline_fetch_plan(tables.raw_tickers(spark, sf))
@@ -607,6 +679,75 @@ def job_ticker(spark, sf):
     return stored.select("symbol", "closeTime", "lastPrice", "firstTradeId", "lastTradeId", "count", "ticker_id")
 
 
+@query
+def job_rejects(spark, sf):
+    """What didn't fit in two loads of the trades, the second of each day in the place of the first."""
+    raw = tables.raw_trades(spark, sf)
+    large = (F.col("price").cast("decimal(20,2)") * F.lit(100_000_000)).cast("string")
+    unfit = raw.withColumn("price", large).withColumn("qty", F.when(F.col("id") % 5 == 0, "n/a").otherwise(F.col("qty")))
+    unfit = unfit.withColumn("id", F.when(F.col("id") % 11 > 0, F.col("id")))
+    before = F.col("time") < times.time_to_epoch_ms(times.utc_literal(MIDNIGHT))
+    database = _load_job(spark, "Trades", (raw.where(before), unfit.where(~before)), load.load_trades)
+    rejects = spark.table(f"{database}.load_rejects")
+    return rejects.select("load_date", F.coalesce("column_name", F.lit("")).alias("column_name"), "n_rows", "n_rejects")
+
+
+_symbol_jobs: dict[tuple[str, str], str] = {}
+
+
+def _job_symbols(spark, sf) -> str:
+    """The database of ``_load_symbol_job``, made once per application and table folder."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _symbol_jobs or not spark.catalog.databaseExists(_symbol_jobs[key]):
+        _symbol_jobs[key] = _load_symbol_job(spark, sf)
+    return _symbol_jobs[key]
+
+
+def _load_symbol_job(spark, sf) -> str:
+    """Metadata of two days, the first of them loaded again and then changed and loaded once more."""
+    raw = tables.raw_symbols(spark, sf)
+    rows = raw.drop("year", "month", "day")
+    days = [rows.where(raw["day"] == day.day) for day in ARRIVALS]
+    database = _load_job(spark, "SymbolInfor", days, load.load_symbols)
+    root = scratch_path(spark, "job-lake")
+    changed = days[0].where("baseAssetPrecision % 2 = 0").withColumn("status", F.lit("HALT"))
+    lake.write_lake(changed.unionByName(changed), root, "SymbolInfor", ARRIVALS[0])
+    load.load_symbols(spark, root, ARRIVALS[0], database)
+    return database
+
+
+@query
+def job_symbols(spark, sf):
+    stored = spark.table(f"{_job_symbols(spark, sf)}.symbol_infor")
+    return stored.select("symbol", "load_date", "filterstype_id", "status", "baseAsset", "baseAssetPrecision", "icebergAllowed")
+
+
+@query
+def job_filters(spark, sf):
+    """All nine filter tables of all versions, one row per value."""
+    database = _job_symbols(spark, sf)
+    out = None
+    for kind in FILTER_TYPES.values():
+        values = F.explode(F.array(*(
+            F.struct(F.lit(c).alias("name"), F.col(c).cast("double").alias("value")) for c in kind.columns
+        )))
+        rows = spark.table(f"{database}.{kind.table}").select(
+            F.lit(kind.table.removesuffix("_detail")).alias("kind"), "symbol", "filter_type_id", "load_date", values.alias("v")
+        ).select("kind", "symbol", "filter_type_id", "load_date", "v.*")
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+@query
+def filter_join(spark, sf):
+    """Prices and lots of each version side by side; the tables are bucketed alike, so nothing is shuffled."""
+    database = _job_symbols(spark, sf)
+    keys_of = ["symbol", "filter_type_id"]
+    price = spark.table(f"{database}.price_filter_detail").select(*keys_of, "minPrice", "tickSize")
+    lot = spark.table(f"{database}.lot_size_filter_detail").select(*keys_of, "minQty", "stepSize")
+    return price.join(lot.hint("merge"), keys_of)
+
+
 @query
 def job_reports(spark, sf):
     """All report tables after two runs of one day at different hours."""

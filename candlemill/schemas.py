@@ -123,12 +123,16 @@ class Table:
     columns: str
     partitions: tuple[str, ...] = ()
     order: tuple[str, ...] = ()
+    #: Number of buckets by the columns of ``order``; tables with the same ones join without a shuffle.
+    buckets: int = 0
 
     @property
     def schema(self) -> T.StructType:
         return T.StructType.fromDDL(self.columns)
 
 
+FILTER_BUCKETS = 8
+
 WAREHOUSE = {
     "symbol_infor": Table(
         "status string, baseAsset string, baseAssetPrecision int, quoteAsset string, "
@@ -137,10 +141,9 @@ WAREHOUSE = {
         "ocoAllowed boolean, quoteOrderQtyMarketAllowed boolean, "
         "allowTrailingStop boolean, cancelReplaceAllowed boolean, "
         "isSpotTradingAllowed boolean, isMarginTradingAllowed boolean, "
-        "defaultSelfTradePreventionMode string, load_date date, load_hash bigint, "
-        "symbol string",
-        ("symbol",),
-        ("filterstype_id",),
+        "defaultSelfTradePreventionMode string, load_hash bigint, symbol string, load_date date",
+        ("load_date",),
+        ("symbol", "filterstype_id"),
     ),
     "trades": Table(
         "trade_id bigint, isBuyerMaker boolean, isBestMatch boolean, "
@@ -163,9 +166,9 @@ WAREHOUSE = {
         f"weightedAvgPrice {PRICE}, prevClosePrice {PRICE}, lastPrice {PRICE}, "
         f"bidPrice {PRICE}, askPrice {PRICE}, openPrice {PRICE}, highPrice {PRICE}, "
         f"lowPrice {PRICE}, volume {AMOUNT}, openTime timestamp, closeTime timestamp, "
-        "firstTradeId bigint, lastTradeId bigint, count bigint, symbol string",
-        ("symbol",),
-        ("ticker_id",),
+        "firstTradeId bigint, lastTradeId bigint, count bigint, symbol string, close_date date",
+        ("close_date",),
+        ("symbol", "ticker_id"),
     ),
     "symbol_dim": Table("symbol_id bigint, symbol string"),
     # Greatest trade id per symbol and load, so that nobody scans all trades for it.
@@ -175,23 +178,50 @@ WAREHOUSE = {
     **{
         kind.table: Table(
             ", ".join(f"`{name}` {dtype}" for name, dtype in kind.columns.items())
-            + ", symbol string, filter_type_id bigint",
+            + ", symbol string, filter_type_id bigint, load_date date",
+            ("load_date",),
             ("symbol", "filter_type_id"),
+            FILTER_BUCKETS,
         )
         for kind in FILTER_TYPES.values()
     },
 }
 
+# What loads note about themselves, so that later ones need not read whole tables.
+BOOKS = {
+    # A load begins and ends; one that has no end broke off.
+    "load_log": Table("load_no bigint, phase string, load_date date, table_name string", ("table_name",)),
+    # Greatest id per symbol that a load gave.
+    "id_marks": Table("symbol string, latest_id bigint, load_no bigint, table_name string", ("table_name",)),
+    # Values that did not fit their type, and rows without a key (column_name is NULL).
+    "load_rejects": Table(
+        "column_name string, n_rows bigint, n_rejects bigint, table_name string, load_date date",
+        ("table_name", "load_date"),
+    ),
+    # Days whose trades a load may have added to.
+    "trade_journal": Table("trade_date date, load_no bigint"),
+    # Runs of trade ids without a hole, by the day that brought them.
+    "trade_id_ranges": Table("symbol string, first_id bigint, last_id bigint, load_date date", ("load_date",)),
+}
+
 REPORTS = {
     "number_of_trades_symbols": Table("symbol string, NumberOfTrades bigint"),
     "daily_trade_ledger": Table("NumberOfTrades bigint, day date", ("day",)),
+    # The last load that the ledger's count of a day knows of.
+    "daily_ledger_loads": Table("load_no bigint, day date", ("day",)),
     "total_trades": Table("TotalTrades bigint"),
 }
 
 
 def create_table_sql(database: str, name: str, table: Table) -> str:
-    """Typed, partitioned parquet table as DDL."""
+    """Typed, partitioned parquet table as DDL.
+
+    Overwrites of a partitioned table replace the partitions they have rows for,
+    which the table itself says, not the session.
+    """
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in table.schema)
     parts = ", ".join(f"`{c}`" for c in table.partitions)
-    partitioned = f" PARTITIONED BY ({parts})" if parts else ""
-    return f"CREATE TABLE IF NOT EXISTS `{database}`.`{name}` ({columns}) USING parquet{partitioned}"
+    partitioned = f" OPTIONS ('partitionOverwriteMode' 'dynamic') PARTITIONED BY ({parts})" if parts else ""
+    order = ", ".join(f"`{c}`" for c in table.order)
+    clustered = f" CLUSTERED BY ({order}) SORTED BY ({order}) INTO {table.buckets} BUCKETS" if table.buckets else ""
+    return f"CREATE TABLE IF NOT EXISTS `{database}`.`{name}` ({columns}) USING parquet{partitioned}{clustered}"

@@ -4,14 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..schemas import REPORTS, WAREHOUSE, Table, create_table_sql
+from ..schemas import BOOKS, REPORTS, WAREHOUSE, Table, create_table_sql
 
 # Fixed value: dashboards read the report tables from this database.
 REPORT_DATABASE = "changes_daily"
 WAREHOUSE_DATABASE = "market_data"
 
-OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
-
 
 def create_database(spark: SparkSession, database: str, folder: str | None = None) -> None:
     """A database in the warehouse, or in a folder of its own."""
@@ -30,7 +28,7 @@ def create_tables(spark: SparkSession, database: str, tables: dict[str, Table])
 
 
 def create_warehouse(spark: SparkSession, database: str = WAREHOUSE_DATABASE) -> None:
-    create_tables(spark, database, WAREHOUSE)
+    create_tables(spark, database, WAREHOUSE | BOOKS)
 
 
 def create_reports(spark: SparkSession, database: str = REPORT_DATABASE) -> None:
@@ -46,6 +44,9 @@ def laid_out(df: DataFrame, name: str) -> DataFrame:
     """
     table = WAREHOUSE[name]
     rows = df.select(*(f.name for f in table.schema))
+    if table.buckets:
+        # A partition has one file for each bucket.
+        return rows.repartition(table.buckets, *table.order).sortWithinPartitions(*table.partitions, *table.order)
     if not table.partitions:
         return rows
     return rows.hint("rebalance", *table.partitions).sortWithinPartitions(
@@ -55,11 +56,12 @@ def laid_out(df: DataFrame, name: str) -> DataFrame:
 
 def append(df: DataFrame, database: str, name: str) -> None:
     """Append to a table: one write for all symbols."""
-    table = WAREHOUSE[name]
-    writer = laid_out(df, name).write.mode("append").format("parquet")
-    if table.partitions:
-        writer = writer.partitionBy(*table.partitions)
-    writer.saveAsTable(f"`{database}`.`{name}`")
+    laid_out(df, name).write.insertInto(f"`{database}`.`{name}`")
+
+
+def note(rows: DataFrame, database: str, name: str) -> None:
+    """Append a few rows to a table of the loads' books, in one file."""
+    rows.select(*(f.name for f in BOOKS[name].schema)).coalesce(1).write.insertInto(f"`{database}`.`{name}`")
 
 
 def insert_partition(df: DataFrame, table: str, partition: dict[str, str]) -> None:
@@ -75,15 +77,8 @@ def insert_partition(df: DataFrame, table: str, partition: dict[str, str]) -> No
 
 
 def overwrite_partitions(df: DataFrame, table: str) -> None:
-    """Replace only the partitions that occur in ``df``."""
-    spark = df.sparkSession
-    before = spark.conf.get(OVERWRITE_MODE)
-    # ``insertInto`` takes this from the session only, not as a writer option.
-    spark.conf.set(OVERWRITE_MODE, "dynamic")
-    try:
-        df.select(*spark.table(table).columns).write.insertInto(table, overwrite=True)
-    finally:
-        spark.conf.set(OVERWRITE_MODE, before)
+    """Replace only the partitions that occur in ``df``; the table's own option says so."""
+    df.select(*df.sparkSession.table(table).columns).write.insertInto(table, overwrite=True)
 
 
 def full_refresh(df: DataFrame, table: str) -> None:

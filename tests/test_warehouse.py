@@ -9,7 +9,7 @@ import pytest
 from data import T0
 
 from candlemill.plans import load
-from candlemill.schemas import REPORTS, WAREHOUSE
+from candlemill.schemas import BOOKS, REPORTS, WAREHOUSE
 from candlemill.sources import lake, warehouse
 
 DAY = date(2024, 1, 15)
@@ -49,8 +49,8 @@ def test_all_tables_are_created_typed_and_partitioned(spark, db):
     warehouse.create_warehouse(spark, db)
     warehouse.create_warehouse(spark, db)
     tables = {t.name for t in spark.catalog.listTables(db)}
-    assert tables == set(WAREHOUSE) and len(tables) == 15
-    for name, table in WAREHOUSE.items():
+    assert tables == set(WAREHOUSE) | set(BOOKS) and len(WAREHOUSE) == 15
+    for name, table in (WAREHOUSE | BOOKS).items():
         stored = {f.name: f.dataType for f in spark.table(f"{db}.{name}").schema}
         assert stored == {f.name: f.dataType for f in table.schema}
         parts = [c.name for c in spark.catalog.listColumns(f"{db}.{name}") if c.isPartition]
@@ -195,11 +195,11 @@ def test_tickers_resume_and_give_the_fetch_plan(spark, db, tmp_path):
 def test_insert_into_one_partition(spark, db):
     warehouse.create_warehouse(spark, db)
     rows = spark.createDataFrame([("9", "1", "0.1")], "maxPrice string, minPrice string, tickSize string")
-    typed = rows.selectExpr(*(f"CAST({c} AS DECIMAL(20,10)) AS {c}" for c in reversed(rows.columns)))
+    typed = rows.selectExpr(*(f"CAST({c} AS DECIMAL(20,10)) AS {c}" for c in reversed(rows.columns)), "\"O'X\" AS symbol", "3L AS filter_type_id")
     target = f"{db}.price_filter_detail"
-    warehouse.insert_partition(typed, target, {"symbol": "O'X", "filter_type_id": 3})
+    warehouse.insert_partition(typed, target, {"load_date": "2024-01-15"})
     (row,) = spark.table(target).collect()
-    assert (row.symbol, row.filter_type_id, int(row.maxPrice)) == ("O'X", 3, 9)
+    assert (row.symbol, row.filter_type_id, int(row.maxPrice), row.load_date) == ("O'X", 3, 9, DAY)
 
 
 def test_only_the_given_partitions_are_replaced(spark, db):
