@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.times import between_times, report_bounds, utc_literal
-from ..schemas import PRICE
+from ..schemas import AMOUNT, PRICE
 
 #: One more than the largest trade id, so that time and id make one number.
 ID_RANGE = 1 << 64
@@ -54,6 +54,50 @@ def klines_from_trades(trades: DataFrame) -> DataFrame:
     )
 
 
+#: Columns of a candle's part: sums, and first and last price with their place in the order.
+PART_KEYS = ["symbol", "opentime"]
+
+
+def kline_parts(trades: DataFrame) -> DataFrame:
+    """What some trades add to each minute; parts of different trades can be merged.
+
+    Besides the sums a part has the order keys of its first and last trade.
+    """
+    order = trade_order()
+    return trades.groupBy("symbol", F.date_trunc("minute", "trade_time").alias("opentime")).agg(
+        F.min(order).alias("first_key"), F.max(order).alias("last_key"), *ohlc(order)
+    )
+
+
+def merged_parts(parts: DataFrame) -> DataFrame:
+    """Parts of the same minute as one; merging merged parts again gives the same."""
+    return parts.groupBy(*PART_KEYS).agg(
+        F.min("first_key").alias("first_key"),
+        F.max("last_key").alias("last_key"),
+        F.min_by("openPrice", "first_key").alias("openPrice"),
+        F.max("highPrice").alias("highPrice"),
+        F.min("lowPrice").alias("lowPrice"),
+        F.max_by("closePrice", "last_key").alias("closePrice"),
+        *(
+            F.sum(c).cast(AMOUNT).alias(c)
+            for c in ("volume", "quoteassetvolume")
+        ),
+        F.sum("numberoftrades").alias("numberoftrades"),
+        *(
+            F.sum(c).cast(AMOUNT).alias(c)
+            for c in ("takerbaseassetvolume", "takerbuyquoteassetvolume")
+        ),
+    )
+
+
+def klines_from_parts(parts: DataFrame) -> DataFrame:
+    """1-minute candles from parts in any number and order."""
+    return (
+        merged_parts(parts).drop("first_key", "last_key")
+        .withColumn("closetime", F.col("opentime") + F.expr("INTERVAL 59 SECONDS"))
+    )
+
+
 def last_prices(trades: DataFrame) -> DataFrame:
     """Last price per symbol over any length of history."""
     return trades.groupBy("symbol").agg(F.max_by("price", trade_order()).alias("prevClosePrice"))

@@ -399,7 +399,8 @@ def _oracle() -> dict[str, str]:
             trade_time FROM t""",
         "stream_distinct_trades": f"""WITH {t} SELECT symbol, trade_id, {_r('price', 'price')},
             trade_time FROM t""",
-        "stream_klines": f"""WITH {t}, {KLINES} SELECT {KLINE_COLUMNS} FROM k""",
+        "stream_klines": klines,
+        "stream_klines_compacted": klines,
         "job_trades": f"""WITH {t} SELECT symbol, trade_id, {_r('price', 'price')}, {_r('qty', 'qty')},
             trade_time, CAST(CAST(trade_time AS DATE) AS VARCHAR) AS trade_date FROM t""",
         "job_klines": f"""WITH {t}, {KLINES} SELECT symbol, opentime, {_r('c', 'closePrice')},

@@ -19,7 +19,7 @@ from .functions.values import count_rejects
 from .operators import clean, derive, filters, incremental, keys
 from .plans import land, load, reports
 from .schemas import FILTER_TYPES, PRICE
-from .session import folder_exists, scratch_path, use_utc
+from .session import folder_exists, folder_names, scratch_path, use_utc
 from .sources import lake, landing, tables, warehouse
 from .sources.tables import AS_OF
 from .streaming import trades as stream
@@ -612,7 +612,23 @@ def stream_klines(spark, sf):
     path = scratch_path(spark, "stream-klines")
     state = scratch_path(spark, "state")
     stream.load_new_klines(spark, trades, path, state, files_per_batch=40).awaitTermination()
-    return spark.read.parquet(path).drop("kline_date")
+    return stream.stored_klines(spark, path)
+
+
+@query
+def stream_klines_compacted(spark, sf):
+    """The same with late and shuffled files one by one, and parts that are written together."""
+    root, trades = scratch_path(spark, "late-lake"), scratch_path(spark, "late-trades")
+    path, states = scratch_path(spark, "late-klines"), [scratch_path(spark, "state") for _ in range(2)]
+    raw = tables.raw_trades(spark, sf)
+    arrival = F.pmod(F.xxhash64("id"), F.lit(3))
+    for k in range(3):
+        lake.write_lake(raw.where(arrival <= k), root, "Trades", LANDED_DAY)
+        stream.load_new_trades(spark, root, trades, states[0]).awaitTermination()
+        stream.load_new_klines(spark, trades, path, states[1], files_per_batch=60).awaitTermination()
+        if k == 1:
+            stream.compact_klines(spark, path, max(int(n.split("=")[1]) for n in folder_names(spark, path)))
+    return stream.stored_klines(spark, path)
 
 
 # -- jobs ---------------------------------------------------------------------

@@ -84,6 +84,19 @@ def folder_exists(spark: SparkSession, name: str) -> bool:
     return files.exists(path)
 
 
+def folder_names(spark: SparkSession, name: str) -> list[str]:
+    """Names of what lies directly in a folder; none if there is no such folder."""
+    path, files = _folder(spark, name)
+    if not files.exists(path):
+        return []
+    return sorted(status.getPath().getName() for status in files.listStatus(path))
+
+
+def drop_folder(spark: SparkSession, name: str) -> None:
+    path, files = _folder(spark, name)
+    files.delete(path, True)
+
+
 def drop_scratch(spark: SparkSession) -> None:
     """Delete what this application wrote to its scratch folder.
 

@@ -3,8 +3,11 @@ from __future__ import annotations
 from datetime import date, timedelta
 
 import data
+import pytest
 from data import T0
+from pyspark.sql import functions as F
 
+from candlemill import session
 from candlemill.operators import derive
 from candlemill.operators.clean import clean_trades
 from candlemill.sources import lake
@@ -67,6 +70,25 @@ def test_late_trades_change_their_candles(spark, tmp_path):
     lake.write_lake(data.raw_trades(spark, late), root, "Trades", DAY)
     load()
     batch = derive.klines_from_trades(clean_trades(data.raw_trades(spark, rows + late)))
-    got = spark.read.parquet(out).select(*batch.columns)
+    got = stream.stored_klines(spark, out).select(*batch.columns)
     assert data.rows(got) == data.rows(batch)
     assert got.agg({"numberoftrades": "sum"}).first()[0] == 21
+    # Each stored trade is in one part, however late it came.
+    assert stream.kline_part_rows(spark, out).agg({"numberoftrades": "sum"}).first()[0] == 21
+    numbers = [int(n.split("=")[1]) for n in session.folder_names(spark, out)]
+    for number in (max(numbers) - 1, max(numbers)):
+        stream.compact_klines(spark, out, max(numbers))
+        assert session.folder_names(spark, out) == [f"upto={max(numbers)}"]
+        assert data.rows(stream.stored_klines(spark, out).select(*batch.columns)) == data.rows(batch)
+    with pytest.raises(ValueError):
+        stream.load_new_klines(spark, trades, out, str(tmp_path / "other"))
+
+
+def test_parts_merge_in_any_order(spark):
+    rows = [("AB"[i % 2], i, str(i * 37 % 11 + 1), str(i % 5), T0 + timedelta(seconds=i * 7 % 150), i % 3 == 0) for i in range(90)]
+    trades = data.trades(spark, rows)
+    parts = [derive.kline_parts(trades.where(F.col("trade_id") % 4 == k)) for k in (2, 0, 3, 1)]
+    two = derive.merged_parts(parts[0].unionByName(parts[1])).unionByName(derive.merged_parts(parts[2]))
+    got = derive.klines_from_parts(two.unionByName(parts[3]))
+    want = derive.klines_from_trades(trades)
+    assert data.rows(got.select(*want.columns)) == data.rows(want)
