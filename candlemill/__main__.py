@@ -31,6 +31,7 @@ def parser() -> argparse.ArgumentParser:
     job("land", "landing", "lake", "as-of")
     job("plan-fetch", "landing", "lake", "as-of", "out")
     job("load", "lake", "as-of")
+    job("derive", "as-of")
     job("report", "as-of", "symbol")
     job("run-day", "lake", "as-of", "symbol")
     job("stream", "lake", "trades", "klines", "state")
@@ -60,6 +61,9 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
     elif args.job == "load":
         warehouse.create_warehouse(spark, args.database)
         load.load_warehouse(spark, args.lake, as_of.date(), args.database)
+    elif args.job == "derive":
+        warehouse.create_warehouse(spark, args.database)
+        load.derive_market(spark, as_of, args.database)
     elif args.job == "report":
         load.refresh_reports(spark, as_of, args.symbol, args.database, args.reports)
     elif args.job == "run-day":

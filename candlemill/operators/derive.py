@@ -118,6 +118,26 @@ def last_closes(klines: DataFrame, before: datetime) -> DataFrame:
     )
 
 
+def last_prices_before(trades: DataFrame, klines: DataFrame, before: datetime) -> DataFrame:
+    """Last price per symbol before any time: stored candles, and trades of the part of a minute behind them.
+
+    ``klines`` has to know all trades before that minute; of ``trades`` only
+    those of the minute are read.
+    """
+    minute = before.replace(second=0, microsecond=0)
+    closes = last_closes(klines, minute)
+    if minute == before:
+        return closes
+    part = trades.where((F.col("trade_time") >= utc_literal(minute)) & (F.col("trade_time") < utc_literal(before)))
+    if "trade_date" in trades.columns:
+        part = part.where(F.col("trade_date") == F.lit(minute.date()))
+    return (
+        last_prices(part).withColumnRenamed("prevClosePrice", "part_price")
+        .join(closes, "symbol", "full")
+        .select("symbol", F.coalesce("part_price", "prevClosePrice").alias("prevClosePrice"))
+    )
+
+
 def ratio(numerator: Column, denominator: Column) -> Column:
     """Quotient of decimals of scale 10, rounded half up; NULL when dividing by 0.
 

@@ -11,6 +11,9 @@ from ..session import pin
 
 BROADCAST_ROWS = 500_000
 SALTS = 64
+#: A symbol with more than this share of the rows is spread; the sample that tells has this share of them.
+HOT_SHARE = 0.005
+SAMPLED = 0.01
 
 
 def latest_ids(table: DataFrame, id_column: str, alias: str = "latest_id") -> DataFrame:
@@ -24,24 +27,42 @@ def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(small) if small.count() <= rows else small
 
 
+def hot_symbols(facts: DataFrame, share: float = HOT_SHARE, fraction: float = SAMPLED) -> DataFrame:
+    """Symbols with more than ``share`` of the rows, told from a sample of them.
+
+    There are fewer than ``1 / share``. A symbol near the bound may be missed or
+    found too many, which changes where its rows go, not what they become.
+    """
+    counts = pin(facts.sample(fraction, seed=1).groupBy("symbol").agg(F.count("*").alias("n")))
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    return counts.where(F.col("n") > F.lit(total * share)).select("symbol", F.lit(True).alias("_hot"))
+
+
 def attach_per_symbol(
     facts: DataFrame,
     per_symbol: DataFrame,
     spread_by: str,
     broadcast_rows: int = BROADCAST_ROWS,
+    fraction: float = SAMPLED,
 ) -> DataFrame:
     """Left join of one-row-per-symbol values to facts that may be skewed.
 
     The small side is written out and counted. Up to ``broadcast_rows`` narrow
-    rows it is broadcast; beyond that every symbol's facts are spread over
-    ``SALTS`` tasks by a hash of ``spread_by``.
+    rows it is broadcast; beyond that the facts of hot symbols are spread over
+    ``SALTS`` tasks by a hash of ``spread_by``, and only their values are copied.
     """
     small = pin(per_symbol)
     if small.count() <= broadcast_rows:
         return facts.join(F.broadcast(small), "symbol", "left")
-    salted = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    # Fewer than 1 / HOT_SHARE symbols.
+    hot = F.broadcast(pin(hot_symbols(facts, fraction=fraction)))
+    last = F.when(F.col("_hot"), SALTS - 1).otherwise(0)
+    salted = small.join(hot, "symbol", "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), last))).drop("_hot")
+    salt = F.when(F.col("_hot"), F.pmod(F.hash(spread_by), F.lit(SALTS))).otherwise(0)
     return (
-        facts.withColumn("_salt", F.pmod(F.hash(spread_by), F.lit(SALTS)))
+        facts.join(hot, "symbol", "left")
+        .withColumn("_salt", salt)
+        .drop("_hot")
         .join(salted, ["symbol", "_salt"], "left")
         .drop("_salt")
     )

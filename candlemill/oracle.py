@@ -20,12 +20,12 @@ def _half_up(numerator: str, denominator: str) -> str:
     )
 
 
-def trades(symbol: str = "event_type") -> str:
+def trades(symbol: str = "event_type", source: str = "events") -> str:
     return f"""t AS (
   SELECT event_id AS trade_id, user_id % 2 = 0 AS maker, price, qty, price * qty AS quote,
          date_trunc('second', ts) AS trade_time, CAST({symbol} AS VARCHAR) AS symbol, ts
   FROM (SELECT *, CAST(value AS DECIMAL(12,4)) AS price,
-               CAST(CAST(props->>'$.k' AS BIGINT) AS DECIMAL(10,0)) AS qty FROM events))"""
+               CAST(CAST(props->>'$.k' AS BIGINT) AS DECIMAL(10,0)) AS qty FROM {source}))"""
 
 
 ORDER_TRADES = """t AS (
@@ -192,6 +192,10 @@ JOB_VERSIONS = VERSIONS.replace(
 ).replace("CASE day WHEN 14 THEN 'TRADING' ELSE 'BREAK' END", "CASE day WHEN 14 THEN 'TRADING' WHEN 15 THEN 'BREAK' ELSE 'HALT' END")
 
 
+#: Trades that the last derived candles know of.
+DERIVED = "(SELECT * FROM events WHERE date_trunc('second', ts) <= TIMESTAMP '2024-01-15 12:00:30') e"
+
+
 def _filter_values() -> str:
     """One row per value of the nine filter types."""
     parts = []
@@ -259,6 +263,15 @@ def _oracle() -> dict[str, str]:
                 id - 1 AS high FROM ends e JOIN wanted w ON w.s = e.s),
             pages AS (SELECT s, high, unnest(generate_series(low, high, 50)) AS from_id FROM holes WHERE low <= high)
             SELECT CAST(s AS VARCHAR) AS symbol, from_id, least(from_id + 49, high) AS to_id FROM pages""",
+        "job_derived_klines": f"""WITH {trades(source=DERIVED)}, {KLINES}
+            SELECT symbol, opentime, {_r('o', 'openPrice')}, {_r('c', 'closePrice')}, {_r('v', 'volume')},
+            n AS numberoftrades, row_number() OVER (PARTITION BY symbol ORDER BY opentime) AS kline_id FROM k""",
+        "job_derived_ticker": f"""WITH {t}, one AS (WITH {ticker('2024-01-13 12:00:30', '2024-01-14 12:00:30')} SELECT * FROM w),
+            two AS (WITH {ticker('2024-01-14 12:00:30', '2024-01-15 12:00:30')} SELECT * FROM w),
+            stored AS (FROM one UNION ALL FROM two)
+            SELECT symbol, close_time AS "closeTime", {_r('prev', 'prevClosePrice')}, {_r('c', 'lastPrice')},
+            {_r(_half_up('qv', 'v'), 'weightedAvgPrice')}, first_id AS "firstTradeId", last_id AS "lastTradeId",
+            n AS "count", row_number() OVER (PARTITION BY symbol ORDER BY close_time) AS ticker_id FROM stored""",
         "job_rejects": f"""WITH {t}, r AS (
               SELECT trade_time < {MIDNIGHT} AS early, trade_id, qty, price FROM t)
             SELECT load_date, column_name, n_rows, n_rejects FROM (

@@ -11,7 +11,9 @@ from datetime import date, datetime, timedelta
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import clean, filters, incremental, keys
+from ..functions import times
+from ..operators import clean, derive, filters, incremental, keys
+from ..schemas import PRICE
 from ..session import pin
 from ..sources import lake, warehouse
 from . import books, reports
@@ -142,6 +144,40 @@ def store_ticker(spark: SparkSession, batch: DataFrame, seen: Observation | None
     load.end()
 
 
+def derive_market(spark: SparkSession, as_of: datetime, database: str = warehouse.WAREHOUSE_DATABASE) -> None:
+    """Candles and 24-hour statistics from stored trades up to ``as_of``, into their tables.
+
+    Candles are made of the days that loads touched since they were last made,
+    and of the two days up to ``as_of``, whose last minute may have been open. The
+    statistics read two days of trades; the price before them comes from the
+    candles. Order-book prices don't follow from trades and are NULL.
+    """
+    day = as_of.date()
+    start, _ = times.report_bounds(as_of)
+    trades = spark.table(f"`{database}`.trades").where(
+        (F.col("trade_date") <= F.lit(day)) & (F.col("trade_time") <= times.utc_literal(as_of))
+    )
+    journal = spark.table(f"`{database}`.trade_journal").where(F.col("trade_date") <= F.lit(day))
+    known = spark.table(f"`{database}`.derived_days").groupBy("trade_date").agg(F.max("load_no").alias("known"))
+    touched = pin(
+        journal.groupBy("trade_date").agg(F.max("load_no").alias("load_no")).join(known, "trade_date", "left")
+        .where(F.col("known").isNull() | (F.col("known") < F.col("load_no")) | (F.col("trade_date") >= F.lit(start.date())))
+    )
+    # One narrow row per calendar day, so the scan is pruned to these days.
+    of_days = trades.join(F.broadcast(touched.select("trade_date")), "trade_date", "left_semi")
+    store_klines(spark, pin(derive.klines_from_trades(of_days)), None, day, database)
+    # The last day isn't over yet.
+    done = touched.where(F.col("trade_date") < F.lit(day)).select("trade_date", "load_no")
+    warehouse.note(done, database, "derived_days")
+
+    window = trades.where(F.col("trade_date") >= F.lit(start.date()))
+    previous = derive.last_prices_before(window, spark.table(f"`{database}`.klines"), start)
+    stats = derive.ticker_from_trades(window, as_of, previous)
+    renamed = stats.withColumnsRenamed({"firstId": "firstTradeId", "lastId": "lastTradeId"})
+    none = F.lit(None).cast(PRICE)
+    store_ticker(spark, pin(renamed.withColumns({"bidPrice": none, "askPrice": none})), None, day, database)
+
+
 def refresh_ledger(spark: SparkSession, as_of: datetime, database: str, report_database: str) -> DataFrame:
     """Count anew the days up to ``as_of`` that loads touched since they were counted; returns the ledger.
 

@@ -695,6 +695,31 @@ def job_ticker(spark, sf):
     return stored.select("symbol", "closeTime", "lastPrice", "firstTradeId", "lastTradeId", "count", "ticker_id")
 
 
+DERIVED_AT = AS_OF + timedelta(seconds=30)
+
+
+def _derived(spark, sf) -> str:
+    """Stored trades, and candles and statistics made of them at two times within a minute."""
+    database = _job_trades(spark, sf)
+    for as_of in (DERIVED_AT - timedelta(days=1), DERIVED_AT):
+        load.derive_market(spark, as_of, database)
+    return database
+
+
+@query
+def job_derived_klines(spark, sf):
+    stored = spark.table(f"{_derived(spark, sf)}.klines")
+    return stored.select("symbol", "opentime", "openPrice", "closePrice", "volume", "numberoftrades", "kline_id")
+
+
+@query
+def job_derived_ticker(spark, sf):
+    stored = spark.table(f"{_derived(spark, sf)}.ticker_24h")
+    return stored.select(
+        "symbol", "closeTime", "prevClosePrice", "lastPrice", "weightedAvgPrice", "firstTradeId", "lastTradeId", "count", "ticker_id"
+    )
+
+
 @query
 def job_rejects(spark, sf):
     """What didn't fit in two loads of the trades, the second of each day in the place of the first."""

@@ -200,6 +200,8 @@ BOOKS = {
     ),
     # Days whose trades a load may have added to.
     "trade_journal": Table("trade_date date, load_no bigint"),
+    # Days whose candles were derived from trades, and the last load they knew of.
+    "derived_days": Table("trade_date date, load_no bigint"),
     # Runs of trade ids without a hole, by the day that brought them.
     "trade_id_ranges": Table("symbol string, first_id bigint, last_id bigint, load_date date", ("load_date",)),
 }

@@ -85,3 +85,23 @@ def test_latest_and_top(spark):
     t = data.trades(spark, [("A", 4, "1", "1", T0), ("A", 9, "1", "1", T0), ("B", 2, "1", "1", T0)])
     assert data.rows(keys.latest_ids(t, "trade_id")) == [("A", 9), ("B", 2)]
     assert keys.top_by(t, "trade_id").collect()[0].trade_id == 9
+
+
+def test_only_hot_symbols_are_spread(spark):
+    """The large branch, with a symbol that has most rows: every task has its share."""
+    facts = spark.range(60_000).selectExpr("id AS trade_id", "IF(id % 5 < 2, 'HOT', concat('S', id % 4000)) AS symbol")
+    ids = spark.range(4000).selectExpr("concat('S', id) AS symbol", "id AS symbol_id").union(spark.sql("SELECT 'HOT', 9999L"))
+    assert [r.symbol for r in keys.hot_symbols(facts, fraction=0.5).collect()] == ["HOT"]
+    off = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in off}
+    for k, v in off.items():
+        spark.conf.set(k, v)
+    try:
+        joined = keys.attach_per_symbol(facts, ids, "trade_id", broadcast_rows=0, fraction=0.5)
+        sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
+        assert joined.where("symbol = 'HOT' AND symbol_id = 9999").count() == 24_000
+        assert joined.where("symbol_id IS NULL").count() == 0 and sum(sizes) == 60_000
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert len(sizes) == 8 and max(sizes) < 2 * sum(sizes) / len(sizes)
