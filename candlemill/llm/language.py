@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from candlemill.llm.common import held_out, map_text
-from candlemill.llm.sampling import MAX_CHARS, class_sample
+from candlemill.llm.sampling import class_sample, within_bytes
 
 #: Most rows of each language that the classifier is fitted on.
 SAMPLE = 1500
@@ -148,15 +148,16 @@ def language(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
 
     Learns every non-null language, from at most about ``sample`` different rows
     of each (fewer if that is over MAX_ROWS of sampling.py in all) that are not
-    held out and whose text has a letter and at most MAX_CHARS characters;
-    predicts from whole texts. Null texts and texts without a letter are ``und`` with
+    held out and whose text has a letter (fewer still if their texts are long, see
+    ``within_bytes``, but one at least); predicts from whole texts. Null texts and texts without a letter are ``und`` with
     score 0, as is every text if there is nothing to learn from. A null doc_id
     isn't held out. Repeated rows are predicted alike.
     """
     usable = docs.select("doc_id", "text", "lang").where(
         F.col("text").isNotNull() & F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out("doc_id", 4, 2)
-    ).where((F.length("text") <= MAX_CHARS) & F.col("text").rlike(r"\p{L}"))
-    rows = class_sample(usable, "lang", sample, ["doc_id", "text"]).distinct().collect()
+    ).where(F.col("text").rlike(r"\p{L}"))
+    picked = class_sample(usable, "lang", sample, ["doc_id", "text"]).distinct()
+    rows = within_bytes(picked, "lang", ["doc_id", "text"]).collect()
     rows.sort(key=lambda r: (r["doc_id"], r["lang"], r["text"]))
     model = train([r["text"] for r in rows], [r["lang"] for r in rows])
 

@@ -43,7 +43,7 @@ class WordEncoder(dict):
     whatever the texts.
     """
 
-    def __init__(self, path: str | None = None, limit: int = 500_000):
+    def __init__(self, path: str | None = None, limit: int = 300_000):
         super().__init__()
         path = path or public_tokenizers.path(VOCABULARY)
         self.model = Tokenizer.from_file(path)

@@ -43,23 +43,34 @@ _GROUP = {word: k for k, words in enumerate(COMMON.values()) for word in words.s
 class Words(dict):
     """Rows of a table of words: hashed ids of a word and its prefixes, and its language group."""
 
-    def __init__(self, limit: int = 300_000):
+    def __init__(self, limit: int = 200_000):
         super().__init__()
         self.limit = limit
         self.reset()
 
     def reset(self) -> None:
         self.clear()
-        self.ids: list[list[int]] = []
-        self.groups: list[int] = []
+        self._ids = np.zeros((1024, 1 + len(PREFIXES)), np.int32)
+        self._groups = np.zeros(1024, np.int8)
 
     def __missing__(self, word: str) -> int:
-        at = self[word] = len(self.ids)
+        at = self[word] = len(self)
+        if at == len(self._ids):
+            self._ids = np.concatenate([self._ids, np.zeros_like(self._ids)])
+            self._groups = np.concatenate([self._groups, np.zeros_like(self._groups)])
         parts = [word, *("^" + word[:n] if len(word) > n else "" for n in PREFIXES)]
-        self.ids.append([1 + zlib.crc32(p.encode("utf-8", "surrogatepass")) % (BUCKETS - 1) if p else 0 for p in parts])
-        self.groups.append(_GROUP.get(word, -1))
+        self._ids[at] = [1 + zlib.crc32(p.encode("utf-8", "surrogatepass")) % (BUCKETS - 1) if p else 0 for p in parts]
+        self._groups[at] = _GROUP.get(word, -1)
         return at
 
+    @property
+    def ids(self) -> np.ndarray:
+        return self._ids[: len(self)]
+
+    @property
+    def groups(self) -> np.ndarray:
+        return self._groups[: len(self)]
+
     def of(self, text: str | None) -> np.ndarray:
         found = _WORD.findall((text or "").lower())
         return np.fromiter(map(self.__getitem__, found), np.int64, len(found))
@@ -195,7 +206,7 @@ class Network:
 
 def language_groups(words: Words, docs: list[np.ndarray]) -> np.ndarray:
     """Group of the most common words in each text; the last group has none."""
-    named = np.array(words.groups + [-1], np.int64)
+    named = np.append(words.groups, -1).astype(np.int64)
     out = np.full(len(docs), len(COMMON), np.int64)
     for i, d in enumerate(docs):
         counts = np.bincount(named[d] + 1, minlength=len(COMMON) + 1)[1:]
@@ -227,7 +238,7 @@ def train(texts: list[str], labels: list[int], seed: int = 3) -> Network:
         return net
     words = Words(limit=1 << 62)
     docs = [words.of(t) for t in texts]
-    ids = np.array(words.ids, np.int64).reshape(-1, 1 + len(PREFIXES))
+    ids = words.ids
     kept = np.random.default_rng(seed).random(len(docs)) < 0.75
     if len(set(y[kept])) < 2 or len(set(y[~kept])) < 2:
         kept[:] = True
@@ -257,15 +268,18 @@ def score_texts(docs: DataFrame, net: Network, carry: list[str], name: str = "sc
 
     def work():
         words = Words()
-        table = [np.zeros((0, WIDTH), np.float32)]
+        # Vectors of the words so far, with room for as many again.
+        table, known = [np.zeros((1024, WIDTH), np.float32)], [0]
 
         def handle(batch):
             if len(words) > words.limit:
                 words.reset()
-                table[0] = table[0][:0]
+                table[0], known[0] = np.zeros((1024, WIDTH), np.float32), 0
             texts = [words.of(t) for t in batch.column("text").to_pylist()]
-            new = np.array(words.ids[len(table[0]) :], np.int64).reshape(-1, 1 + len(PREFIXES))
-            table[0] = np.concatenate([table[0], net.vectors(new)[:-1]])
+            if len(words) > len(table[0]):
+                table[0] = np.concatenate([table[0][: known[0]], np.zeros((2 * len(words) - known[0], WIDTH), np.float32)])
+            table[0][known[0] : len(words)] = net.vectors(words.ids[known[0] :])[:-1]
+            known[0] = len(words)
             scores = np.empty(len(texts))
             groups = language_groups(words, texts)
             sizes = np.cumsum([len(t) for t in texts])
@@ -273,7 +287,7 @@ def score_texts(docs: DataFrame, net: Network, carry: list[str], name: str = "sc
             while low < len(texts):
                 high = max(low + 1, int(np.searchsorted(sizes, (sizes[low - 1] if low else 0) + 60_000, "right")))
                 rows, starts, pads = layout(texts[low:high])
-                x = table[0][rows] if len(table[0]) else np.zeros((len(rows), WIDTH), np.float32)
+                x = table[0][rows]
                 x[pads] = 0
                 scores[low:high] = net.scores(net.logits(x, starts, pads), groups[low:high])
                 low = high
@@ -281,7 +295,7 @@ def score_texts(docs: DataFrame, net: Network, carry: list[str], name: str = "sc
 
         return handle
 
-    return map_text(docs, list(dict.fromkeys(["text", *carry])), work, f"{name} double" + ddl(docs, carry))
+    return map_text(docs, list(dict.fromkeys(["text", *carry])), work, f"`{name}` double" + ddl(docs, carry))
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
@@ -302,9 +316,9 @@ def toxicity(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFr
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
-    """The rows of ``docs`` that aren't predicted to be toxic, with all their columns."""
+    """The rows of ``docs`` that aren't predicted to be toxic, with all their columns; each text is read once."""
     net = train(*labelled_texts(docs, labels, "toxic", sample))
     names = docs.columns
-    numbered = docs.toDF(*(f"c{k}" for k in range(len(names)))).withColumn("text", F.col(f"c{names.index('text')}"))
-    scored = score_texts(numbered, net, [f"c{k}" for k in range(len(names))])
-    return scored.where(F.col("score") < DECIDE).drop("score").toDF(*names)
+    inner = ["text" if name == "text" else f"c{k}" for k, name in enumerate(names)]
+    scored = score_texts(docs.toDF(*inner), net, inner, "score of text")
+    return scored.where(F.col("score of text") < DECIDE).select(inner).toDF(*names)

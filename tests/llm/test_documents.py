@@ -6,6 +6,7 @@ import zlib
 
 import numpy as np
 from helpers import AWKWARD, docs, words
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from candlemill.llm import decontaminate, sampling
@@ -205,6 +206,20 @@ def test_sample_of_every_class(spark, monkeypatch):
     assert 60 < sum(r.lang == "big" for r in got) < 140
 
 
+def test_stages_keep_columns_of_any_name(spark, tmp_path):
+    """Columns named like those that stages make."""
+    rng = random.Random(41)
+    a, item = words(rng, 60, 5000), words(rng, 40, 9000) + ". the answer is forty two here"
+    rows = [(1, a), (2, a + " x"), (3, item), (4, words(rng, 60, 5000)), (4, words(rng, 60, 5000)), (None, None)]
+    frame = docs(spark, rows).withColumns({c: F.lit("own") for c in ("row_key", "text_key", "component_id", "n_shingles", "rows", "head")})
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    got = corpus_pipeline.decontamination_stage(spark, corpus_pipeline.near_copies_stage(spark, frame, str(tmp_path)), str(tmp_path))
+    assert got.columns == frame.columns
+    found = got.collect()
+    assert sorted((r.doc_id for r in found), key=repr) == [1, 4, 4, None]
+    assert {(r.row_key, r.text_key, r.component_id) for r in found} == {("own",) * 3}
+
+
 def test_near_copies_are_told_by_row(spark):
     rng = random.Random(11)
     a, b, c, d, e, f = (words(rng, 60, 5000) for _ in range(6))
@@ -240,3 +255,79 @@ def test_every_stage_on_awkward_rows(spark, tmp_path):
     texts = {r.doc_id: r.text for r in spark.read.parquet(f"{folder}/pii").collect()}
     assert 1000 not in texts and texts[1001] == "mail me at [EMAIL] now" and 9005 not in texts
     assert {r.doc_id for r in frame.collect()} == set(texts)
+
+
+def test_long_texts_are_learned_from(spark):
+    """Labelled texts that are all long, and one language of long texts only."""
+    rng = random.Random(31)
+    kinds = {"aa": "abcde", "bb": "vwxyz"}
+
+    def text(lang, n):
+        return " ".join("".join(rng.choice(kinds[lang]) for _ in range(5)) for _ in range(n))
+
+    rows = [(k, text("aa" if k % 2 else "bb", 3500 if k < 40 or k % 2 else 40), "aa" if k % 2 else "bb") for k in range(100)]
+    for part in (rows[:40], rows):
+        got = {r.doc_id: r.lang_pred for r in language(spark.createDataFrame(part, "doc_id long, text string, lang string")).collect()}
+        assert all(got[k] == lang for k, _, lang in part)
+    texts = [(k, words(rng, 5000) + (" gruntle" * (k % 4 == 0))) for k in range(120)]
+    labels = spark.createDataFrame([(k, int(k % 4 > 0), int(k % 4 == 0)) for k in range(120)], "doc_id long, quality int, toxic int")
+    assert all(r.predicted == (r.doc_id % 4 == 0) for r in toxicity(docs(spark, texts), labels).collect())
+    assert len({r.score for r in quality(docs(spark, texts), labels).collect()}) > 1
+
+
+def test_long_texts_mean_fewer_rows(spark, monkeypatch):
+    rows = [(k, "x" * (10 + 90 * (k % 10)), "a" if k % 3 else "b") for k in range(300)] + [(900, "y" * 5000, "c")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    monkeypatch.setattr(sampling, "MAX_BYTES", 3000)
+    got = sampling.within_bytes(frame, "lang", ["doc_id"]).collect()
+    sizes = {lang: sum(len(r.text) for r in got if r.lang == lang) for lang in "abc"}
+    assert sizes["c"] == 5000 and 0 < sizes["a"] <= 1000 and 0 < sizes["b"] <= 1000
+    monkeypatch.setattr(sampling, "MAX_BYTES", 1 << 20)
+    assert len(sampling.within_bytes(frame, "lang", ["doc_id"]).collect()) == 301
+
+
+def test_rejected_rows_keep_all_columns(spark):
+    """Columns named like those that scoring makes, in any order."""
+    from candlemill.llm.toxicity import without_toxic
+
+    rows, marks = labelled(200)
+    labels = spark.createDataFrame(marks, "doc_id long, quality int, toxic int")
+    frame = docs(spark, rows).selectExpr("score", "c0 AS c1", "text", "'k' AS `score of text`", "doc_id", "terms AS n_chars")
+    got = without_toxic(frame, labels)
+    assert got.columns == frame.columns
+    kept = got.collect()
+    assert {(r["score"], r["c1"], r["score of text"]) for r in kept} == {(0.5, "x", "k")}
+    assert {r.text for r in kept} <= {t for _, t in rows} and 140 < len(kept) < 190
+
+
+def naive_score(net, text):
+    """Convolution, greatest response and logistic layer, word by word."""
+    from candlemill.llm import toxicity as module
+
+    words_ = module.Words()
+    at = words_.of(text)
+    vectors = [sum(net.table[i].astype(float) for i in words_.ids[k]) for k in at]
+    vectors += [np.zeros(module.WIDTH)] * module._PAD
+    features = []
+    for width, kernel in net.filters.items():
+        best = net.bias[width].astype(float)
+        for start in range(len(at)):
+            h = sum(vectors[start + k] @ kernel[k] for k in range(width)) + net.bias[width]
+            best = np.maximum(best, h)
+        features.append(np.maximum(best, 0))
+    return np.concatenate(features) @ net.out + net.constant
+
+
+def test_network_equals_naive_convolution():
+    from candlemill.llm import toxicity as module
+
+    rows, marks = labelled(120)
+    net = module.train([t for _, t in rows], [t for _, _, t in marks])
+    known = module.Words()
+    texts = [t for _, t in rows[:12]] + ["", "one", "gruntle snarfing", "the " * 40]
+    own = [known.of(t) for t in texts]
+    places, starts, pads = module.layout(own)
+    table = net.vectors(known.ids)
+    x = table[np.where(pads, len(table) - 1, places)]
+    got = net.logits(x, starts, pads)
+    assert np.allclose(got, [naive_score(net, t) for t in texts], atol=1e-3)
