@@ -22,6 +22,14 @@ SHINGLE_WORDS = 5
 SIMILAR_PERCENT = 80
 
 
+def _free_name(docs: DataFrame, name: str) -> str:
+    """A name that no column of ``docs`` has."""
+    taken = {c.lower() for c in docs.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier doesn't reject. Null and empty texts stay."""
     return without_toxic(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
@@ -34,21 +42,24 @@ def near_copies_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     null. Documents without words are no copies of each other; all their rows
     stay.
     """
-    keyed = docs.withColumn("row_key", F.xxhash64("doc_id", "text"))
-    classes = jaccard_classes(keyed.select(F.col("row_key").alias("doc_id"), "text"), SHINGLE_WORDS, SIMILAR_PERCENT)
+    key = _free_name(docs, "row_key")
+    # Only ids and texts go through the search; other columns stay with their rows.
+    own = docs.select(F.xxhash64("doc_id", "text").alias("row_key"), "doc_id", "text")
+    classes = jaccard_classes(own.select(F.col("row_key").alias("doc_id"), "text"), SHINGLE_WORDS, SIMILAR_PERCENT)
     members = classes.groupBy(F.col("doc_id").alias("row_key")).agg(
         F.first("component_id").alias("component_id"), F.max("n_shingles").alias("n_shingles"), F.count("*").alias("rows")
     )
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "row_key")
-    heads = members.join(keyed.select("row_key", "doc_id").distinct(), "row_key").groupBy("component_id").agg(
+    heads = members.join(own.select("row_key", "doc_id").distinct(), "row_key").groupBy("component_id").agg(
         F.min_by(F.struct("row_key", "n_shingles", "rows"), order).alias("head")
     )
-    kept = pin(heads.select("head.*"))
-    repeated = kept.where("rows > 1 and n_shingles > 0")
+    kept = pin(heads.select(F.col("head.row_key").alias(key), F.col("head.n_shingles").alias("n"), F.col("head.rows").alias("times")))
+    repeated = kept.where("times > 1 and n > 0")
+    keyed = docs.withColumn(key, F.xxhash64("doc_id", "text"))
     if repeated.isEmpty():
-        return keyed.join(kept.select("row_key"), "row_key", "left_semi").select(docs.columns)
-    once = keyed.join(kept.where("rows = 1 or n_shingles = 0").select("row_key"), "row_key", "left_semi")
-    first = keyed.join(repeated.select("row_key"), "row_key", "left_semi").dropDuplicates(["doc_id", "text"])
+        return keyed.join(kept.select(key), key, "left_semi").select(docs.columns)
+    once = keyed.join(kept.where("times = 1 or n = 0").select(key), key, "left_semi")
+    first = keyed.join(repeated.select(key), key, "left_semi").dropDuplicates(["doc_id", "text"])
     return once.unionByName(first).select(docs.columns)
 
 
@@ -56,8 +67,9 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     """Documents without a verified benchmark item. Null and empty texts stay."""
     # The text stands for the row, so repeated and null ids need no care.
     found = leaks(docs.select(F.xxhash64("text").alias("doc_id"), "text"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    marked = found.select(F.col("doc_id").alias("text_hash")).distinct()
-    return docs.join(marked, F.xxhash64(docs["text"]) == F.col("text_hash"), "left_anti")
+    key = _free_name(docs, "text_key")
+    marked = found.select(F.col("doc_id").alias(key)).distinct()
+    return docs.withColumn(key, F.xxhash64("text")).join(marked, key, "left_anti").select(docs.columns)
 
 
 def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
