@@ -45,6 +45,8 @@ def map_text(df: DataFrame, columns: list[str], work: Callable[[pa.RecordBatch],
             out = handle(part)
             if out is not None:
                 yield pa.RecordBatch.from_pydict(out)
+        # The worker lives on; the next task may be another stage's.
+        pa.default_memory_pool().release_unused()
 
     return df.select(*columns).mapInArrow(run, schema)
 
@@ -57,7 +59,7 @@ def ddl(df: DataFrame, columns: list[str]) -> str:
 class WordHashes(dict):
     """64-bit hash of a word; forgets everything when it holds ``limit`` words."""
 
-    def __init__(self, limit: int = 400_000):
+    def __init__(self, limit: int = 200_000):
         super().__init__()
         self.limit = limit
 

@@ -43,7 +43,7 @@ _GROUP = {word: k for k, words in enumerate(COMMON.values()) for word in words.s
 class Words(dict):
     """Rows of a table of words: hashed ids of a word and its prefixes, and its language group."""
 
-    def __init__(self, limit: int = 200_000):
+    def __init__(self, limit: int = 120_000):
         super().__init__()
         self.limit = limit
         self.reset()
