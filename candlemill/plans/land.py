@@ -140,7 +140,7 @@ def landing_report(spark: SparkSession, lake_root: str, day: date) -> DataFrame:
     tickers = lake.read_lake_day(spark, lake_root, "Ticker_24h", day)
     traded = tickers.where("firstId >= 0 AND lastId >= firstId").select("symbol").distinct()
     # A row per table and symbol: four tables.
-    wanted = tables.withColumn("tables", F.lit(1)).join(traded.withColumn("tables", F.lit(1)), "tables").drop("tables")
+    wanted = traded.withColumn("table", F.explode(F.array(*(F.lit(t) for t in LAKE))))
     missing = (
         wanted.join(files.select("table", "symbol").distinct(), ["table", "symbol"], "left_anti")
         .groupBy("table").agg(F.count("*").alias("n_missing"))

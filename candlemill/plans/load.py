@@ -46,17 +46,20 @@ def load_symbols(spark: SparkSession, lake_root: str, day: date, database: str)
     versioned = pin(keys.assign_versions(new, load.latest_ids("filterstype_id")))
 
     warehouse.append(keys.extend_symbol_dim(versioned, dim), database, "symbol_dim")
-    load_filters(spark, loads, versioned, day, database)
+    load_filters(spark, loads, versioned, day, database, load.follows_end)
     # Last, because its rows mark the load as done.
     warehouse.append(versioned.drop("filters"), database, "symbol_infor")
     load.note_ids(versioned, "filterstype_id")
     load.end()
 
 
-def load_filters(spark: SparkSession, loads: DataFrame, versioned: DataFrame, day: date, database: str) -> None:
+def load_filters(
+    spark: SparkSession, loads: DataFrame, versioned: DataFrame, day: date, database: str, follows_end: bool = False
+) -> None:
     """The filters of new versions: nine writes into the partition of their day.
 
-    What a run that broke off has already put there is not put there again.
+    What a run that broke off has already put there is not put there again;
+    ``follows_end`` says that the metadata load before did not break off.
     Values that don't fit are counted over all loads of the day.
     """
     load = books.begin(spark, database, "filters", day)
@@ -67,7 +70,7 @@ def load_filters(spark: SparkSession, loads: DataFrame, versioned: DataFrame, da
     exploded = pin(filters.explode_filters(versioned))
     for name, detail in filters.filter_details(exploded).items() if not exploded.isEmpty() else ():
         table = f"`{database}`.`{name}`"
-        if not load.follows_end:
+        if not (load.follows_end and follows_end):
             there = spark.table(table).where(F.col("load_date") == F.lit(day)).select(*filters.PARENT_KEYS).distinct()
             detail = detail.join(there, list(filters.PARENT_KEYS), "left_anti")
         rows = warehouse.laid_out(detail.withColumn("load_date", F.lit(day)), name)
