@@ -16,6 +16,7 @@ import zlib
 import numpy as np
 import pyarrow as pa
 import pyarrow.fs as pafs
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -125,7 +126,8 @@ def materialise(
     order = Permutation(max(1, count), key)
 
     def pieces(batches):
-        """The part of each document in each sequence, with its slot."""
+        """The part of each document in each sequence, with its slot; compressed, as parts are small."""
+        press = zstandard.ZstdCompressor(level=1, write_checksum=False).compress
         for batch in batches:
             ids = batch.column("ids")
             n = batch.column("n").to_numpy()
@@ -149,7 +151,7 @@ def materialise(
                         "doc_id": pa.array([docs_[k] for k in owner[part]], pa.int64()),
                         "part": pa.array(
                             [
-                                ids[int(k)].as_py()[(a - at[k]) * width : (b - at[k]) * width]
+                                press(ids[int(k)].as_py()[(a - at[k]) * width : (b - at[k]) * width])
                                 for k, a, b in zip(owner[part], low[part], high[part], strict=True)
                             ],
                             pa.binary(),
@@ -166,6 +168,7 @@ def materialise(
     def write(batches):
         files, root = pafs.FileSystem.from_uri(folder)
         files.create_dir(root, recursive=True)
+        unpress = zstandard.ZstdDecompressor().decompress
         held, done = None, []
         current: list = [None, None, bytearray(), []]  # slot, sequence, bytes, documents
 
@@ -212,7 +215,7 @@ def materialise(
                         if (ready := close_shard()) is not None:
                             yield ready
                         held = shard
-                current[2].extend(part)
+                current[2].extend(unpress(part))
                 current[3].append(doc)
         close_sequence()
         if (ready := close_shard()) is not None:

@@ -102,3 +102,26 @@ def test_shards_hold_the_stream(spark, tmp_path):
     assert sorted(stream[:total].tolist()) == sorted(x for _, t in rows for x in [*exact(t), 0])
     assert {i for r in got for i in r.doc_ids} == {i for i, _ in rows}
     assert materialise(docs(spark, rows).limit(0), f"{folder}-none").count() == 0
+
+
+def test_records_are_where_they_should_be(spark, tmp_path):
+    """Slots, offsets, lengths and the order of ids, against the texts themselves."""
+    rows = [(k, " ".join(["alpha", "beta", "c"] * (k * 7 % 50))) for k in range(90)] + AWKWARD + [(95, "long " * 3000)]
+    length, per_shard, key = 64, 8, 4
+    got = materialise(docs(spark, rows), f"file://{tmp_path}/s", key=key, length=length, shard_sequences=per_shard).collect()
+    order = Permutation(len(got), key)
+    texts = dict(rows)
+    width = 2
+    stream, owners = [], []
+    for r in sorted(got, key=lambda r: r.sequence):
+        assert r.slot == order.slots(np.array([r.sequence]))[0] and r.shard == r.slot // per_shard
+        assert r.byte_offset == r.slot % per_shard * length * width
+        raw = (tmp_path / f"s/shard-{r.shard:06d}.bin").read_bytes()[r.byte_offset : r.byte_offset + length * width]
+        assert zlib.crc32(raw) == r.ids_crc32
+        ids = np.frombuffer(raw, "<u2")
+        assert (ids[r.n_tokens :] == 0).all() and (r.n_tokens == length or r.sequence == len(got) - 1)
+        stream += ids[: r.n_tokens].tolist()
+        # A document that goes on from the sequence before is named in both.
+        owners += r.doc_ids[1:] if owners and owners[-1] == r.doc_ids[0] else r.doc_ids
+    assert sorted(map(str, owners)) == sorted(str(k) for k, _ in rows)
+    assert stream == [x for k in owners for x in [*exact(texts[k]), 0]]
