@@ -1,4 +1,4 @@
-"""Repeated byte strings, found with suffix order and longest-previous-factor arrays.
+"""Repeated byte strings, found by anchors, hashes of contexts and suffix order.
 
 A string of ``length`` bytes that starts in two places has, in both, the same
 *anchor*: the least hash of the ``GRAM``-byte strings in it (the first of
@@ -11,9 +11,8 @@ under equal anchors, wherever they are.
 2. Contexts that occur again as a whole are repeated as a whole.
 3. The distinct contexts of an anchor go to one task. Their suffixes are
    ordered by prefix doubling; suffixes that agree on ``length`` bytes stand
-   together. There the previous and the next smaller position in suffix order
-   give the longest previous factor, cut at ``length``: the first of equals has
-   none and all others have.
+   together, and their least and greatest place tell whether one repeats. No
+   array of longest previous factors is made.
 4. An anchor with more than ``CROWD`` distinct contexts (the edge of a passage
    in very many documents) is not given to one task: its strings are counted by
    their 128-bit hashes instead, with sums before the shuffle.
