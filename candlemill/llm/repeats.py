@@ -10,9 +10,10 @@ under equal anchors, wherever they are.
    strings that belong to it. Anchors of one place drop out.
 2. Contexts that occur again as a whole are repeated as a whole.
 3. The distinct contexts of an anchor go to one task. Their suffixes are
-   ordered by prefix doubling; suffixes that agree on ``length`` bytes stand
-   together, and their least and greatest place tell whether one repeats. No
-   array of longest previous factors is made.
+   ordered by prefix doubling. The previous and next smaller place of a suffix
+   in that order give its longest previous factor, the previous and next greater
+   one its longest next factor; a string is a later copy if the first reaches
+   ``length``, and one that is repeated later if the second does.
 4. An anchor with more than ``CROWD`` distinct contexts (the edge of a passage
    in very many documents) is not given to one task: its strings are counted by
    their 128-bit hashes instead, with sums before the shuffle.
@@ -89,46 +90,86 @@ def anchors(data: bytes, length: int, gram: int = GRAM) -> tuple[np.ndarray, np.
     return at[first], first, last
 
 
-def doubled_ranks(data: np.ndarray, length: int) -> np.ndarray:
-    """Rank of the ``length``-byte string at every position in the order of suffixes.
+def doubled_ranks(data: np.ndarray, length: int) -> dict[int, np.ndarray]:
+    """Prefix doubling: {width: rank of the string of that width at every position}.
 
-    Prefix doubling; equal strings get equal ranks. Positions with less than
-    ``length`` bytes left have no rank.
+    Widths are 8, 16, ... and ``length`` (only ``length`` if it is below 8);
+    equal strings have equal ranks, and ranks of a width are in the order of
+    its strings. Positions with less bytes left than the width have no rank.
     """
-    n = len(data) - length + 1
-    if n <= 0:
-        return np.zeros(0, np.int64)
+    if len(data) < length:
+        return {length: np.zeros(0, np.int64)}
     width = min(8, length)
-    keys = np.zeros(len(data) - width + 1, np.uint64)
-    for k in range(width):
-        keys = (keys << np.uint64(8)) | data[k : len(data) - width + 1 + k].astype(np.uint64)
-    ranks = np.unique(keys, return_inverse=True)[1].astype(np.uint64)
+    ranks = {width: np.unique(_leading(data, width), return_inverse=True)[1]}
     while width < length:
+        held = ranks[width].astype(np.uint64)
         step = min(width, length - width)
-        keys = (ranks[: len(ranks) - step] << np.uint64(32)) | ranks[step:]
-        ranks = np.unique(keys, return_inverse=True)[1].astype(np.uint64)
+        pairs = (held[: len(held) - step] << np.uint64(32)) | held[step:]
         width += step
-    return ranks.astype(np.int64)
+        ranks[width] = np.unique(pairs, return_inverse=True)[1]
+    return ranks
+
+
+def _leading(data: np.ndarray, width: int) -> np.ndarray:
+    """The string of ``width`` (at most 8) bytes at every position as a big-endian number."""
+    keys = np.zeros(len(data) - width + 1, np.uint64)
+    for k in range(width):
+        keys = (keys << np.uint64(8)) | data[k : len(data) - width + 1 + k].astype(np.uint64)
+    return keys
 
 
-def previous_factors(ranks: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For suffixes with ``ranks``: is there an equal one at a smaller place, and at any other place?
+def common_lengths(ranks: dict[int, np.ndarray], x: np.ndarray, y: np.ndarray, length: int) -> np.ndarray:
+    """How many bytes the strings at ``x`` and ``y`` have in common, ``length`` at most.
 
-    In suffix order, ties by place, the previous smaller and next smaller place
-    of a suffix share its whole rank exactly if it isn't the least place of its
-    rank; so the factor's length, cut at the length of the ranks, is reached by
-    all but the first.
+    From the widest rank down; every width is passed at most once, as what is
+    left is shorter than twice the width. Bytes below the least width don't count.
     """
-    order = np.lexsort((places, ranks))
-    r, p = ranks[order], places[order]
-    new = np.concatenate([[True], r[1:] != r[:-1]]) if len(r) else np.zeros(0, bool)
-    group = np.cumsum(new) - 1
-    least = p[new][group] if len(r) else p
-    most = p[np.concatenate([new[1:], [True]])][group] if len(r) else p
-    earlier, other = np.zeros(len(r), bool), np.zeros(len(r), bool)
-    earlier[order] = p > least
-    other[order] = least != most
-    return earlier, other
+    out = np.zeros(len(x), np.int64)
+    for width in sorted(ranks, reverse=True):
+        at = np.flatnonzero(out + width <= length)
+        same = ranks[width][x[at] + out[at]] == ranks[width][y[at] + out[at]]
+        out[at[same]] += width
+    return out
+
+
+def longest_earlier(values: np.ndarray, shared: np.ndarray) -> np.ndarray:
+    """Longest match of each suffix with the nearest one before it, in suffix order, that has a smaller value.
+
+    ``shared[i]`` is what the suffixes i - 1 and i have in common. All
+    candidates move at once: from a suffix that is no smaller to its own
+    candidate, as what lies between is no smaller either; the match becomes the
+    least on the way, and a suffix without any match stops.
+    """
+    at = np.arange(len(values)) - 1
+    match = shared.copy()
+    match[:1] = 0
+    moving = np.flatnonzero(match > 0)
+    while len(moving := moving[values[at[moving]] > values[moving]]):
+        over = at[moving]
+        match[moving], at[moving] = np.minimum(match[moving], match[over]), at[over]
+        moving = moving[match[moving] > 0]
+    return match
+
+
+def longest_factors(ranks: dict[int, np.ndarray], starts: np.ndarray, places: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Arrays of the longest previous and the longest next factor of the suffixes at ``starts``, cut at ``length``.
+
+    The longest match of a suffix with one at a smaller place is that with the
+    previous or the next smaller place in suffix order; for greater places
+    likewise. Suffixes are ordered by their first ``length`` bytes, ties by place.
+    """
+    order = np.lexsort((places, ranks[length][starts]))
+    at, values = starts[order], places[order]
+    shared = np.zeros(len(order) + 1, np.int64)
+    shared[1:-1] = common_lengths(ranks, at[:-1], at[1:], length)
+    found = []
+    for value in (values, -values):
+        before = longest_earlier(value, shared[:-1])
+        after = longest_earlier(value[::-1], shared[:0:-1])[::-1]
+        factor = np.empty(len(order), np.int64)
+        factor[order] = np.maximum(before, after)
+        found.append(factor)
+    return found[0], found[1]
 
 
 def _anchor_rows(docs: DataFrame, length: int) -> DataFrame:
@@ -167,15 +208,20 @@ def _anchor_rows(docs: DataFrame, length: int) -> DataFrame:
 
 
 def keyed(docs: DataFrame) -> DataFrame:
-    """(doc, doc_id, text): ``doc`` tells rows of different id or text apart."""
-    key = F.unhex(F.md5(F.concat_ws("\0", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.coalesce("text", F.lit("")))))
+    """(doc, doc_id, text): ``doc`` tells rows of different id or text apart and is in the order of ids, null ids last.
+
+    It has the id with its sign bit turned, so that bytes sort as numbers, and 96 bits of a hash of id and text.
+    """
+    number = F.coalesce(F.col("doc_id").cast("long").bitwiseXOR(F.lit(-(2**63))), F.lit(-1).cast("long"))
+    row = F.md5(F.concat_ws("\0", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.coalesce("text", F.lit(""))))
+    key = F.unhex(F.concat(F.lpad(F.hex(number), 16, "0"), F.substring(row, 1, 24)))
     return docs.select(key.alias("doc"), "doc_id", "text")
 
 
 def repeated_starts(docs: DataFrame, length: int = 400, keep_first: bool = False) -> DataFrame:
     """Rows (doc, lo, hi): starts lo..hi of strings of ``length`` bytes that start elsewhere too.
 
-    With ``keep_first`` the first start of each string, in the order of (doc,
+    With ``keep_first`` the first start of each string, in the order of (doc_id,
     place), is left out. ``docs`` has the columns of ``keyed``.
     """
     rows = pin(_anchor_rows(docs, length))
@@ -236,9 +282,10 @@ def repeated_starts(docs: DataFrame, length: int = 400, keep_first: bool = False
         starts = np.repeat(np.cumsum(sizes) - sizes, counts) + inside
         at = lo[owner] + inside
         place = (np.array([number[d] for d in docs_])[owner] << 40) + at
-        ranks = doubled_ranks(np.frombuffer(b"".join(raws), np.uint8), length)[starts]
-        earlier, other = previous_factors(ranks, place)
-        rows_ = np.flatnonzero(earlier if keep_first else other | (n[owner] > 1))
+        ranks = doubled_ranks(np.frombuffer(b"".join(raws), np.uint8), length)
+        previous, following = longest_factors(ranks, starts, place, length)
+        earlier = previous >= length
+        rows_ = np.flatnonzero(earlier if keep_first else earlier | (following >= length) | (n[owner] > 1))
         at, owner = at[rows_], owner[rows_]
         new = np.ones(len(rows_), bool)
         new[1:] = (at[1:] != at[:-1] + 1) | (owner[1:] != owner[:-1])
@@ -309,7 +356,7 @@ def remove_repeats(docs: DataFrame, length: int = 400, keep_first: bool = False)
 
     Removes every byte covered by a string of ``length`` bytes that also starts
     elsewhere, in the same document or another; with ``keep_first`` the first
-    of its places stays. Null and short texts lose nothing. Strings are judged
+    of its places stays, that of the least doc_id (null ids come last). Null and short texts lose nothing. Strings are judged
     on the input. Rows of equal id and text are cut alike. ``spans`` are the maximal removed runs (start, end), ``kept``
     the remaining bytes. Repeated rows repeat each other. Other columns are not
     read.

@@ -7,6 +7,8 @@ from collections import Counter
 import numpy as np
 import pytest
 from helpers import AWKWARD, docs, words
+from hypothesis import given, settings
+from hypothesis import strategies as st
 
 from candlemill.llm import repeats
 from candlemill.llm.common import WordHashes, components, shingle_hashes, words_of
@@ -95,6 +97,43 @@ def test_repeats_keep_the_first(spark):
     assert sorted(r.n_removed for r in rows.values()) == [0, 900, 900, 900, 900]
 
 
+@pytest.mark.parametrize("crowd", [64, 1])
+def test_the_copy_of_the_least_id_stays(spark, monkeypatch, crowd):
+    monkeypatch.setattr(repeats, "CROWD", crowd)
+    rng = random.Random(7)
+    passage = "".join(rng.choice("abcdefgh") for _ in range(700))
+    noise = lambda: "".join(rng.choice("abxyz ") for _ in range(300))
+    ids = [5, -3, 2**62, 0, None, 12]
+    rows = [(k, f"{noise()}{edge}{passage}{edge}{noise()}") for k, edge in zip(ids, "ABCDEF", strict=True)] + [(7, noise() + "q" * 900)]
+    got = {r.doc_id: r.n_removed for r in repeats.remove_repeats(docs(spark, rows), keep_first=True).collect()}
+    # Of a run of 900 equal bytes all strings but the first are later copies.
+    assert got == {-3: 0, **dict.fromkeys([5, 2**62, 0, None, 12], 700), 7: 899}
+
+
+def brute_factors(data, starts, places, length):
+    def common(i, j):
+        return next((k for k in range(length) if data[i + k] != data[j + k]), length)
+
+    pairs = list(zip(starts, places, strict=True))
+    return [
+        [max((common(i, j) for j, q in pairs if before(q, p)), default=0) for i, p in pairs] for before in (int.__lt__, int.__gt__)
+    ]
+
+
+@settings(max_examples=80, deadline=None)
+@given(st.integers(1, 40), st.text("ab", min_size=40, max_size=120), st.randoms())
+def test_longest_factors_equal_brute_force(length, text, rng):
+    data = text.encode()
+    starts = list(range(len(data) - length + 1))
+    places = rng.sample(range(1000), len(starts))
+    got = repeats.longest_factors(repeats.doubled_ranks(np.frombuffer(data, np.uint8), length), np.array(starts), np.array(places), length)
+    least = min(8, length)
+    for found, want in zip(got, brute_factors(data, starts, places, length), strict=True):
+        # Whole below the length of the search only up to the least width of a rank.
+        assert all(g <= w < g + least or g == w for g, w in zip(found.tolist(), want, strict=True))
+        assert [g == length for g in found.tolist()] == [w == length for w in want]
+
+
 def test_vectors_equal_brute_force(spark):
     rng = np.random.default_rng(1)
     base = rng.standard_normal((6, 16))
