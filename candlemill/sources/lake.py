@@ -1,8 +1,15 @@
-"""The raw lake: ``{root}/{table}/symbol=S/year=YYYY/month=MM/day=DD/``."""
+"""The raw lake: ``{root}/{table}/symbol=S/year=YYYY/month=MM/day=DD/``.
+
+A symbol has one record of metadata a day, so a directory a symbol would be one
+for each row. That table lies under ``year=YYYY/month=MM/day=DD/`` with the symbol
+in its files, unless the lake already has it by symbol; then it stays so.
+"""
 
 from __future__ import annotations
 
 from datetime import date
+from functools import reduce
+from operator import and_
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -10,8 +17,16 @@ from pyspark.sql import functions as F
 
 from ..functions.times import lake_date_parts
 from ..schemas import lake_schema
+from ..session import folder_names, pin
 
 PARTITIONS = ("symbol", "year", "month", "day")
+#: Tables with one row per symbol and day.
+BY_DAY = ("SymbolInfor",)
+
+
+def is_by_day(spark: SparkSession, root: str, table: str) -> bool:
+    """Whether a lake table has, or will have, its symbols in the files instead of the path."""
+    return table in BY_DAY and not any(n.startswith("symbol=") for n in folder_names(spark, f"{root}/{table}"))
 
 
 def _scan(spark: SparkSession, root: str, table: str, paths: list[str]) -> DataFrame:
@@ -38,10 +53,11 @@ def read_lake_day(
     """One day of a lake table, for one symbol or for all of them.
 
     Only that day's directories are listed, so the cost does not grow with the
-    history kept in the lake. A symbol is a filter on the partition column, not
-    part of the path, where some of its characters would be escaped.
+    history kept in the lake. A symbol is a filter on the column, not part of
+    the path, where some of its characters would be escaped.
     """
-    path = f"{root}/{table}/symbol=*/year={day:%Y}/month={day:%m}/day={day:%d}"
+    symbols = "" if is_by_day(spark, root, table) else "symbol=*/"
+    path = f"{root}/{table}/{symbols}year={day:%Y}/month={day:%m}/day={day:%d}"
     rows = _scan(spark, root, table, [path])
     return rows if symbol is None else rows.where(F.col("symbol") == symbol)
 
@@ -67,16 +83,44 @@ def write_lake(
     the rows.
     """
     when = day if isinstance(day, Column) else F.lit(day)
+    rows = df.withColumns(lake_date_parts(when))
+    partitions = PARTITIONS
+    if is_by_day(df.sparkSession, root, table):
+        partitions = PARTITIONS[1:]
+        # As a path would give it back: no symbol is the same as an empty one.
+        rows = rows.withColumn("symbol", F.nullif(F.col("symbol").cast("string"), F.lit("")))
+        if replace:
+            rows = _with_other_symbols(rows, root, table, day)
+    rows = rows.hint("rebalance", *PARTITIONS)
+    if partitions != PARTITIONS:
+        # A symbol's rows are then found by the row groups' bounds.
+        rows = rows.sortWithinPartitions(*partitions, "symbol")
     (
-        df.withColumns(lake_date_parts(when))
-        .hint("rebalance", *PARTITIONS)
-        .write.partitionBy(*PARTITIONS)
+        rows.write.partitionBy(*partitions)
         .option("partitionOverwriteMode", "dynamic")
         .mode("overwrite" if replace else "append")
         .parquet(f"{root}/{table}")
     )
 
 
+def _with_other_symbols(rows: DataFrame, root: str, table: str, day: date | Column) -> DataFrame:
+    """``rows``, and what a table by day has of other symbols on the same days.
+
+    Written out, because a day can't be read while it is replaced.
+    """
+    rows = pin(rows)
+    spark = rows.sparkSession
+    stored = read_lake(spark, root, table) if isinstance(day, Column) else read_lake_day(spark, root, table, day)
+    stored = stored.withColumns(lake_date_parts(F.make_date("year", "month", "day")))
+
+    def same(new: DataFrame) -> Column:
+        return reduce(and_, (stored[c].eqNullSafe(new[c]) for c in new.columns))
+
+    days, symbols = rows.select(*PARTITIONS[1:]).distinct(), rows.select(*PARTITIONS).distinct()
+    others = stored.join(days, same(days), "left_semi").join(symbols, same(symbols), "left_anti")
+    return pin(rows.unionByName(others, allowMissingColumns=True))
+
+
 def row_counts(raw: DataFrame) -> DataFrame:
     """Rows per symbol of a raw table."""
     return raw.groupBy("symbol").agg(F.count("*").alias("rows"))

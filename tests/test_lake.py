@@ -132,3 +132,59 @@ def test_symbols_that_paths_escape_are_found(spark, tmp_path):
     lake.write_lake(raw, root, "Trades", DAY)
     for name in names:
         assert [r.symbol for r in lake.read_lake_day(spark, root, "Trades", DAY, name).collect()] == [name]
+
+
+def symbols_of(rows):
+    return {r.symbol: r.status for r in rows.collect()}
+
+
+def test_metadata_has_no_directory_per_symbol(spark, tmp_path):
+    root, later = str(tmp_path), date(2024, 1, 16)
+    rules = [{"filterType": "ICEBERG_PARTS", "limit": "10"}]
+    raw = data.raw_symbol(spark, [(f"S{i:03}", 15, rules) for i in range(300)] + [("A/B", 15, []), ("007", 15, None)])
+    raw = raw.drop("year", "month", "day")
+    for day in (DAY, later):
+        lake.write_lake(raw, root, "SymbolInfor", day)
+    lake.write_lake(raw.where("symbol = '007'"), root, "SymbolInfor", DAY)
+    folders = {f.parent for f in tmp_path.glob("SymbolInfor/**/*.parquet")}
+    assert folders == {tmp_path / f"SymbolInfor/year=2024/month=01/day={d}" for d in (15, 16)}
+    back = lake.read_lake_day(spark, root, "SymbolInfor", DAY)
+    assert data.rows(back.select(*raw.columns)) == data.rows(raw.unionByName(raw.where("symbol = '007'")))
+    assert {tuple(r) for r in back.select("year", "month", "day").collect()} == {(2024, 1, 15)}
+    assert lake.read_lake_day(spark, root, "SymbolInfor", later, "A/B").count() == 1
+    assert lake.read_lake(spark, root, "SymbolInfor").count() == 605
+    assert back.columns == lake.read_lake(spark, root, "SymbolInfor").columns == lake.lake_schema("SymbolInfor").names
+
+
+def test_metadata_of_a_day_is_replaced_by_symbol(spark, tmp_path):
+    root, later = str(tmp_path), date(2024, 1, 16)
+
+    def put(rows, day, replace=True):
+        raw = data.raw_symbol(spark, [(s, 1, [], status) for s, status in rows])
+        lake.write_lake(raw.drop("year", "month", "day"), root, "SymbolInfor", day, replace)
+
+    put([("A", "1"), ("B", "1"), (None, "1")], DAY)
+    put([("A", "1")], later)
+    for _ in range(2):
+        put([("B", "2"), ("C", "2"), ("", "2")], DAY)
+    got = data.rows(lake.read_lake_day(spark, root, "SymbolInfor", DAY).select("symbol", "status"))
+    assert got == sorted([("A", "1"), ("B", "2"), ("C", "2"), (None, "2")], key=repr)
+    assert symbols_of(lake.read_lake_day(spark, root, "SymbolInfor", later)) == {"A": "1"}
+    # Under a date column, too.
+    day = F.when(F.col("symbol") == "A", F.lit(later)).otherwise(F.lit(DAY))
+    put([("A", "3"), ("B", "3")], day)
+    assert symbols_of(lake.read_lake_day(spark, root, "SymbolInfor", DAY)) == {"A": "1", "B": "3", "C": "2", None: "2"}
+    assert symbols_of(lake.read_lake_day(spark, root, "SymbolInfor", later)) == {"A": "3"}
+
+
+def test_a_lake_by_symbol_stays_so(spark, tmp_path):
+    root = str(tmp_path)
+    raw = data.raw_symbol(spark, [("A", 15, [], "1"), ("B", 15, [], "1")]).drop("year", "month", "day")
+    for symbol in "AB":
+        folder = tmp_path / f"SymbolInfor/symbol={symbol}/year=2024/month=01/day=15/SymbolInfor.parquet"
+        raw.where(F.col("symbol") == symbol).drop("symbol").write.parquet(str(folder))
+    lake.write_lake(raw.withColumn("symbol", F.lit("C")).limit(1), root, "SymbolInfor", DAY)
+    lake.write_lake(raw.where("symbol = 'A'").withColumn("status", F.lit("2")), root, "SymbolInfor", DAY, replace=True)
+    assert symbols_of(lake.read_lake_day(spark, root, "SymbolInfor", DAY)) == {"A": "2", "B": "1", "C": "1"}
+    assert symbols_of(lake.read_lake(spark, root, "SymbolInfor")) == {"A": "2", "B": "1", "C": "1"}
+    assert not list(tmp_path.glob("SymbolInfor/year=*"))
